@@ -1,0 +1,6 @@
+"""No streaming operators: every flow this package covers is a batch flow.
+
+The row-wise operators (``filter_area``, ``unpivot_slots``, ``conform_votes``,
+``with_audit``) are plain projections, so they also accept a streaming
+DataFrame; nothing here needs watermarks or state.
+"""
