@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 @dataclass(frozen=True)
@@ -133,11 +133,31 @@ def fill_unknown(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.fillna(dict(defaults))
 
 
-def fill_median(df: DataFrame, column: str, accuracy: int = 10_000) -> DataFrame:
-    """Replace missing values by the column's median.
+def median_value(df: DataFrame, column: str, accuracy: int = 10_000) -> float | None:
+    """Exact median without sorting the column.
 
-    The median is a mergeable sketch, one number for the whole table; it is
-    exact while the column has fewer distinct values than ``accuracy``.
+    A sketch brackets the middle within a known rank error, the rows below the
+    bracket are counted, and only the distinct values inside it are ordered.
     """
-    middle = df.agg(F.percentile_approx(column, 0.5, accuracy)).first()[0]
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(middle)))
+    c = F.col(column)
+    margin = 2.0 / accuracy
+    sketch = F.percentile_approx(c, [0.5 - margin, 0.5 + margin], accuracy)
+    low_high = df.agg(sketch.alias("b")).first()["b"]
+    if low_high is None:
+        return None
+    low, high = low_high
+    n, below = df.agg(F.count(c), F.count_if(c < low)).first()
+    inside = df.where(c.between(low, high)).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + below
+    ranks = inside.select("v", upto.alias("upto"))
+    middle = [
+        F.min(F.when(F.col("upto") >= rank, F.col("v"))) for rank in ((n + 1) // 2, n // 2 + 1)
+    ]
+    a, b = ranks.agg(*middle).first()
+    return (a + b) / 2
+
+
+def fill_median(df: DataFrame, column: str) -> DataFrame:
+    """Replace missing values by the column's median."""
+    middle = median_value(df, column)
+    return df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(middle)))
