@@ -6,27 +6,52 @@ helpers use the ``try_`` forms, so an undefined value becomes NULL.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, functions as F
 
 from canton.functions.text import strip
 
-# The JVM parser also takes "1d", "1f" and hexadecimal floats, which are text
-# here; "inf" and "infinity" remain numbers.
-_JVM_ONLY_NUMBER = r"[dDxX]|(?<![iI][nN])[fF]$"
+
+def _jvm_only(text: Column, parsed: Column) -> Column:
+    """Text the JVM parser takes but that is no number here: ``1d``, ``1f`` and
+    hexadecimal floats. The f of ``inf`` and ``infinity`` is fine."""
+    marks = [F.contains(text, F.lit(m)) for m in "dDxX"]
+    letter_f = F.contains(text, F.lit("f")) | F.contains(text, F.lit("F"))
+    return reduce(or_, marks) | (letter_f & (F.abs(parsed) < float("inf")))
 
 
 def to_double(c: Column, default: float | None = None) -> Column:
-    """Text to double; unparsable or blank gives ``default``, NaN gives NULL."""
-    text = strip(c.cast("string"))
-    value = F.when(~F.rlike(text, F.lit(_JVM_ONLY_NUMBER)), text.try_cast("double"))
+    """Text to double; unparsable or blank gives ``default``, NaN gives NULL.
+
+    Numeric input passes through: ``typeof`` is a plan-time constant, so only
+    the branch of the actual type is left in the compiled plan. Text is parsed
+    as it stands; it is stripped and parsed again only when that fails, and
+    blanks are never parsed (a failed parse costs an exception).
+    """
+    text = c.cast("string")
+    trimmed = strip(text)
+    parsed = F.coalesce(
+        F.when(text != "", text.try_cast("double")),
+        F.when(trimmed != text, trimmed.try_cast("double")),
+    )
+    value = F.when(F.typeof(c) != "string", c.try_cast("double")).otherwise(
+        F.when(~_jvm_only(text, parsed), parsed)
+    )
     if default is not None:
         value = F.coalesce(value, F.lit(float(default)))
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def to_long(c: Column, default: int | None = None) -> Column:
-    """Text to whole number through double, cut toward zero ("1.9" -> 1)."""
-    value = to_double(c).try_cast("long")
+    """Text to whole number, cut toward zero ("1.9" -> 1).
+
+    Plain whole numbers are cast directly; the rest goes through double.
+    """
+    direct = F.when(F.typeof(c) == "string", c.cast("string").try_cast("long"))
+    through_double = F.coalesce(direct, to_double(c).try_cast("long"))
+    value = F.when(F.typeof(c) == "bigint", c.try_cast("long")).otherwise(through_double)
     return value if default is None else F.coalesce(value, F.lit(default).cast("long"))
 
 

@@ -17,6 +17,7 @@ from canton.functions import above_threshold, sigmoid, weighted_sum
 from canton.operators.metrics import METRICS, classification_metrics, majority_class
 from canton.operators.scaling import Scaler
 from canton.operators.split import stratified_split
+from canton.sources.literal import literal_table
 from canton.sources.sinks import export_csv, export_json
 
 
@@ -40,8 +41,7 @@ class LogitModel:
 
     def importance(self, spark: SparkSession) -> DataFrame:
         """Coefficients by descending size; one row per feature."""
-        rows = list(zip(self.features, self.weights))
-        df = spark.createDataFrame(rows, "feature string, coefficient double")
+        df = literal_table(spark, ["feature", "coefficient"], list(zip(self.features, self.weights)))
         return df.withColumn("abs_coefficient", F.abs("coefficient")).orderBy(
             F.desc("abs_coefficient"), "feature"
         )
@@ -119,8 +119,8 @@ def fit_logit(
         elasticNetParam=0.0,
         standardization=False,
         family="binomial",
-        maxIter=200,
-        tol=1e-9,
+        maxIter=100,
+        tol=1e-6,
     ).fit(rows.select("features__v", label))
     return LogitModel(
         tuple(features), tuple(map(float, fitted.coefficients)), float(fitted.intercept)

@@ -57,17 +57,24 @@ def election_features(
     if names is None:
         pair = composite_key(slug, F.col("election"), sep="|")
         names = [tuple(v.split("|")) for v in bounded_values(rows, pair, "share features")]
+    # Typed once per row here, so the many conditional columns stay tiny.
+    typed = rows.select(
+        "id_commune",
+        "election",
+        slug.alias("slug"),
+        to_double(F.col("pct_voix_exprimes"), 0.0).alias("share"),
+        *[to_double(F.col(m), 0.0).alias(m) for m in L.FEATURE_METRICS],
+    )
     features: dict[str, Column] = {}
     for election in sorted({e for _, e in names}):
         here = F.col("election") == election
         for metric in L.FEATURE_METRICS:
-            features[f"{metric}_{election.lower()}"] = F.when(here, to_double(F.col(metric), 0.0))
-    share = to_double(F.col("pct_voix_exprimes"), 0.0)
+            features[f"{metric}_{election.lower()}"] = F.when(here, F.col(metric))
     for name, election in names:
         features[f"share_{name}_{election.lower()}"] = F.when(
-            (F.col("election") == election) & (F.col("slug") == name), share
+            (F.col("election") == election) & (F.col("slug") == name), F.col("share")
         )
-    return wide_features(rows.withColumn("slug", slug), ["id_commune"], features)
+    return wide_features(typed, ["id_commune"], features)
 
 
 def safety_features(
@@ -82,18 +89,23 @@ def safety_features(
         "id_indicateur_securite", slugify(F.col("indicateur")).alias("slug")
     )
     rows = require_key(rows, dim, ["id_indicateur_securite"], "slug")
-    rows = rows.withColumn("id_commune", commune_id(F.col("id_commune")))
     if slugs is None:
         slugs = bounded_values(dim, "slug", "indicators")
+    rows = rows.select(
+        commune_id(F.col("id_commune")).alias("id_commune"),
+        "year",
+        "slug",
+        *[to_double(F.col(c), 0.0).alias(c) for c in ("taux_pour_mille", "insee_pop", "insee_log")],
+    )
     features: dict[str, Column] = {}
     for year in years:
         here = F.col("year") == year
         for s in slugs:
             features[f"sec_rate_{s}_{year}"] = F.when(
-                here & (F.col("slug") == s), to_double(F.col("taux_pour_mille"), 0.0)
+                here & (F.col("slug") == s), F.col("taux_pour_mille")
             )
         for c in ("insee_pop", "insee_log"):
-            features[f"{c}_{year}"] = F.when(here, to_double(F.col(c), 0.0))
+            features[f"{c}_{year}"] = F.when(here, F.col(c))
     return wide_features(rows, ["id_commune"], features)
 
 

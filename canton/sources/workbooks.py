@@ -8,9 +8,9 @@ cells of the first sheet out of the zip container.
 from __future__ import annotations
 
 import io
-import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -18,11 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CELL_SCHEMA = "path string, sheet_row bigint, cells array<string>"
 _BATCH_ROWS = 10_000
-_SPACE = re.compile(r"\{.*?\}")
 
 
 def _local(tag: str) -> str:
-    return _SPACE.sub("", tag)
+    return tag.rpartition("}")[2]
 
 
 def _text(node) -> str:
@@ -37,13 +36,18 @@ def _text(node) -> str:
     return "".join(parts)
 
 
-def _column_index(reference: str) -> int:
+@lru_cache(maxsize=None)
+def _letters_index(letters: str) -> int:
     index = 0
-    for letter in re.match(r"[A-Z]+", reference).group():
+    for letter in letters:
         index = index * 26 + ord(letter) - 64
     return index - 1
 
 
+def _column_index(reference: str) -> int:
+    return _letters_index(reference.rstrip("0123456789"))
+
+
 def _first_sheet(book: zipfile.ZipFile) -> str:
     links = {
         r.attrib["Id"]: r.attrib["Target"]

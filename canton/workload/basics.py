@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from canton.functions import (
-    above_threshold, code_text, commune_id, decimal_point, dot, election_label, half_even,
+    above_threshold, code_text, commune_id, contains_any, decimal_point, dot, election_label, half_even,
     insee_commune_id, iso_text, lstrip_zeros, numbered_id, pct, per_mille, sigmoid, slugify,
     strip, timestamp_or_null, to_double, to_long, truncated, whole, year_of,
 )
@@ -15,6 +15,7 @@ from canton.operators.aggregates import (
 from canton.operators.shaping import filter_area, pivot_sum
 from canton.plans.features import wide_features
 from canton.plans.votes import enrich
+from canton.sources.literal import literal_table
 from canton.sources.sinks import with_audit
 from canton.workload.registry import query, sql_pct, sql_zfill, table
 
@@ -140,8 +141,6 @@ def conform_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def slugify_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from canton.functions import contains_any
-
     messy = F.concat(F.lit(" Été d'"), "p_name", F.lit(" ("), "p_type", F.lit(")/À-Çôte  "))
     return table(spark, sf_dir, "part").select(
         "p_partkey",
@@ -244,7 +243,7 @@ def enrich_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
         (" BUILDING", "works", 1), ("FURNITURE ", "home", 2), ("HOUSEHOLD", "home", 3),
         ("MACHINERY", "works", 4), ("MACHINERY", "other", 5),
     ]
-    reference = spark.createDataFrame(rows, "segment string, segment_group string, line int")
+    reference = literal_table(spark, ["segment", "segment_group", "line"], rows)
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey", F.concat("c_mktsegment", F.lit(" ")).alias("c_mktsegment")
     )
@@ -294,12 +293,15 @@ def features_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    """Orders per nation, year and segment; a busy customer joins as one row a year."""
+    orders = table(spark, sf_dir, "orders").groupBy(
+        "o_custkey", F.year("o_orderdate").alias("order_year")
+    ).agg(F.count(F.lit(1)).alias("n"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("c_nationkey", F.year("o_orderdate").alias("order_year"), "c_mktsegment")
-        .agg(F.count(F.lit(1)).alias("n_orders"))
+        .groupBy("c_nationkey", "order_year", "c_mktsegment")
+        .agg(F.sum("n").alias("n_orders"))
     )
 
 

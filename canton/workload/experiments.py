@@ -20,7 +20,7 @@ from canton.plans.stars import build_safety_star, build_star
 from canton.session import durable
 from canton.workload.registry import query, table
 from canton.workload.stars import SAFETY_SQL, silver_safety
-from canton.workload.votes import SILVER_SQL, SLOTS, silver
+from canton.workload.votes import SILVER_SQL, SLOTS, silver_table
 
 
 def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def _document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM f WHERE part = 'train')
     SELECT doc_id, part, round_even((coalesce(size, size_mean) - size_mean) / size_std * 1000000, 0) / 1000000 AS size,
            round_even((coalesce(english, en_mean) - en_mean) / en_std * 1000000, 0) / 1000000 AS english,
-           0.0 AS constant, 0.0 AS absent
+           CAST(0 AS DOUBLE) AS constant, CAST(0 AS DOUBLE) AS absent
     FROM f, s
     """,
 )
@@ -127,7 +127,7 @@ _INDICATORS = tuple(f"{e}_d_ete" for e in ("click", "error", "purchase", "signup
 
 
 def _vote_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = build_star(silver(spark, sf_dir))
+    star = build_star(silver_table(spark, sf_dir))
     return labelled_facts(star.fact_resultats, star.dim_election, star.dim_candidat)
 
 

@@ -20,7 +20,7 @@ from canton.sources import (
     with_audit, workbook_table, write_table,
 )
 from canton.workload.registry import query, sql_pct, table
-from canton.workload.votes import SILVER_SQL, SLOTS, bronze_votes
+from canton.workload.votes import SILVER_SQL, SLOTS, station_rows
 
 
 @query(
@@ -70,7 +70,7 @@ def wide_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     common = ["Code du département", "Libellé du département", "Code de la commune",
               "Libellé de la commune", "Code du b.vote", *L.COUNT_FIELDS]
     label = F.concat(F.lit("€ "), F.col("`Libellé de la commune`"), F.lit(" œuvre"))
-    bronze = bronze_votes(spark, sf_dir).withColumn("Libellé de la commune", label)
+    bronze = station_rows(spark, sf_dir).withColumn("Libellé de la commune", label)
     slots = [f"{f}_{k}" for k in range(1, SLOTS + 1) for f in fields]
     # The text writer knows ISO-8859-1 only; these two letters have their
     # cp1252 bytes at the code points below.

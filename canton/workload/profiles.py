@@ -11,7 +11,7 @@ from canton.operators.quality import (
     reference_check, run_checks, unique_check, within_percent,
 )
 from canton.workload.registry import query, table
-from canton.workload.votes import SILVER_SQL, silver
+from canton.workload.votes import SILVER_SQL, silver_table
 
 
 @query(
@@ -121,7 +121,7 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def vote_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    votes = silver(spark, sf_dir)
+    votes = silver_table(spark, sf_dir)
     commune = ["code_departement", "code_commune", "libelle_commune", "annee_election", "tour"]
     return run_checks(
         votes,

@@ -10,6 +10,9 @@ from canton.operators.aggregates import vote_shares, vote_totals
 from canton.operators.shaping import unpivot_slots
 from canton.plans import layouts as L
 from canton.plans.votes import silver_votes, stations_to_communes, versus
+from canton.session import scratch_path
+from canton.sources.literal import literal_table
+from canton.sources.sinks import read_table, write_table
 from canton.workload.registry import query, sql_pct, sql_zfill, table
 
 SLOTS = 7
@@ -92,6 +95,13 @@ def wide_slots_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored bronze table: totals and candidates each scan their columns."""
+    path = scratch_path(spark, "bronze-votes")
+    write_table(station_rows(spark, sf_dir), path)
+    return read_table(spark, path)
+
+
+def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide all-text station rows in the source layout, for several elections."""
     qty = whole(F.col("l_quantity"))
 
@@ -145,7 +155,14 @@ def bronze_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_reference(spark: SparkSession) -> DataFrame:
     """Party of each candidate; one is listed twice, the last one is unknown."""
     rows = [(f"P{k}", f" CANDIDAT {k}", f"PARTI {k % 3}") for k in range(1, SLOTS)]
-    return spark.createDataFrame([*rows, ("P1", "CANDIDAT 1", "PARTI 9")], "prenom string, nom string, nuance string")
+    return literal_table(spark, ["prenom", "nom", "nuance"], [*rows, ("P1", "CANDIDAT 1", "PARTI 9")])
+
+
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored silver table, which a star schema reads several times."""
+    path = scratch_path(spark, "silver-votes")
+    write_table(silver(spark, sf_dir), path)
+    return read_table(spark, path)
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +251,7 @@ _WIDE_VOIX = ", ".join(
 )
 def communes_from_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = stations_to_communes(
-        bronze_votes(spark, sf_dir), F.col("`Code du b.vote`").cast("long")
+        station_rows(spark, sf_dir), F.col("`Code du b.vote`").cast("long")
     )
     return versus(wide, "Voix_1", "Voix_2", "versus_2").select(
         F.col("Code de la commune").alias("code_commune"),
