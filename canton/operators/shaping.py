@@ -146,13 +146,17 @@ def pivot_sum(
 def filter_area(
     df: DataFrame, column: str, code: str, width: int = 2, conform: bool = True
 ) -> DataFrame:
-    """Rows of one area.
+    """Rows of one area, with the canonical code in ``column``.
 
-    Zeros are dropped before padding, so ``69``, `` 69`` and ``069`` agree.
-    ``conform=False`` compares as is, which a Parquet scan can push down.
+    Zeros are dropped before padding, so ``69``, `` 69`` and ``069`` agree and
+    group together afterwards. ``conform=False`` compares as is, which a
+    Parquet scan can push down.
     """
     value = F.col(f"`{column}`")
     if not conform:
         return df.where(value == code)
-    text = zfill(F.ltrim(strip(value), F.lit("0")), width)
-    return df.where(text == code)
+    return df.withColumn(column, conform_area(value, width)).where(value == code)
+
+
+def conform_area(c: Column, width: int = 2) -> Column:
+    return zfill(F.ltrim(strip(c), F.lit("0")), width)

@@ -51,9 +51,10 @@ def write_table(
     writer.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
+def read_table(spark: SparkSession, path: str | Sequence[str], schema=None) -> DataFrame:
+    """One table, or several folders of the same layout stacked by one scan."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
 def export_csv(

@@ -127,15 +127,18 @@ def workbook_table(
     """All-text rows below the header row of each (path, content) workbook.
 
     Without ``columns`` the names are taken from the header row, which all
-    workbooks must share: this reads the workbooks once more, so pass the names
-    when they are known.
+    workbooks must share, and the widest row tells how many unnamed columns
+    follow. This reads the workbooks once more; pass the names when known.
     """
     cells = workbook_cells(files)
     if columns is None:
-        headers = cells.where("sheet_row = 1").select("cells").distinct().take(2)
-        if len(headers) != 1:
+        header = F.when(F.col("sheet_row") == 1, F.col("cells"))
+        first, last, width = cells.agg(
+            F.min(header), F.max(header), F.max(F.size("cells"))
+        ).first()
+        if first is None or first != last:
             raise ValueError("the workbooks do not share one header row")
-        columns = _header_names(headers[0][0])
+        columns = _header_names([*first, *[None] * (width - len(first))])
     body = cells.where(
         (F.col("sheet_row") > 1) & F.exists("cells", lambda c: c.isNotNull())
     )
