@@ -6,20 +6,14 @@ helpers use the ``try_`` forms, so an undefined value becomes NULL.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from canton.functions.text import strip
 
 
-def _jvm_only(text: Column, parsed: Column) -> Column:
-    """Text the JVM parser takes but that is no number here: ``1d``, ``1f`` and
-    hexadecimal floats. The f of ``inf`` and ``infinity`` is fine."""
-    marks = [F.contains(text, F.lit(m)) for m in "dDxX"]
-    letter_f = F.contains(text, F.lit("f")) | F.contains(text, F.lit("F"))
-    return reduce(or_, marks) | (letter_f & (F.abs(parsed) < float("inf")))
+# Text the JVM parser takes but that is no number here: "1d", "1f" and
+# hexadecimal floats. The f of "inf" and "infinity" follows an n.
+_JVM_ONLY_NUMBER = "[dDxX]|[^nN][fF]"
 
 
 def to_double(c: Column, default: float | None = None) -> Column:
@@ -37,7 +31,7 @@ def to_double(c: Column, default: float | None = None) -> Column:
         F.when(trimmed != text, trimmed.try_cast("double")),
     )
     value = F.when(F.typeof(c) != "string", c.try_cast("double")).otherwise(
-        F.when(~_jvm_only(text, parsed), parsed)
+        F.when(~F.rlike(text, F.lit(_JVM_ONLY_NUMBER)), parsed)
     )
     if default is not None:
         value = F.coalesce(value, F.lit(float(default)))
@@ -55,6 +49,18 @@ def to_long(c: Column, default: int | None = None) -> Column:
     return value if default is None else F.coalesce(value, F.lit(default).cast("long"))
 
 
+def double_columns(df: DataFrame, names, default: float | None = None) -> list[Column]:
+    """``to_double`` for the text columns among ``names``; typed ones stay."""
+    types = dict(df.dtypes)
+
+    def typed(name: str) -> Column:
+        if types[name] != "double":
+            return to_double(F.col(name), default).alias(name)
+        return F.col(name) if default is None else F.coalesce(name, F.lit(default)).alias(name)
+
+    return [typed(n) for n in names]
+
+
 def truncated(c: Column) -> Column:
     """Double to long, cut toward zero."""
     return c.cast("double").try_cast("long")

@@ -20,19 +20,17 @@ def dot(a: Column, b: Column) -> Column:
     )
 
 
-def weighted_sum(columns: list[Column], weights: list[float]) -> Column:
+def weighted_sum(columns: list[str], weights: list[float]) -> Column:
     """Dot product with constant weights over scalar columns.
 
     The sum is built as a balanced tree, so wide models keep a shallow
     expression that whole-stage codegen can compile.
     """
-    terms = [c * F.lit(float(w)) for c, w in zip(columns, weights, strict=True)]
-    if not terms:
-        return F.lit(0.0)
+    terms = [f"`{c}` * {float(w)!r}D" for c, w in zip(columns, weights, strict=True)]
     while len(terms) > 1:
-        paired = [a + b for a, b in zip(terms[::2], terms[1::2])]
+        paired = [f"({a} + {b})" for a, b in zip(terms[::2], terms[1::2])]
         terms = paired + terms[len(paired) * 2:]
-    return terms[0]
+    return F.expr(terms[0] if terms else "0D")
 
 
 def above_threshold(p: Column, threshold: float = 0.5) -> Column:

@@ -18,10 +18,16 @@ def deviation_or_one(c: Column | str) -> Column:
 
 
 def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: mean and deviation of every column."""
-    return df.agg(
-        *[mean_or_zero(c).alias(f"{c}__mean") for c in columns],
-        *[deviation_or_one(c).alias(f"{c}__std") for c in columns],
+    """(pos, mean, deviation): one row per column that has rows.
+
+    The columns of a row become one array that is exploded into a grouped
+    aggregate, so the plan stays the same size for any number of columns.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    return (
+        df.select(F.posexplode(values).alias("pos", "value"))
+        .groupBy("pos")
+        .agg(mean_or_zero("value").alias("mean"), deviation_or_one("value").alias("deviation"))
     )
 
 
@@ -35,18 +41,17 @@ class Scaler:
 
     @staticmethod
     def fit(train: DataFrame, columns: Sequence[str]) -> "Scaler":
-        row = column_statistics(train, columns).first()
-        n = len(columns)
-        return Scaler(tuple(columns), tuple(row[:n]), tuple(row[n:]))
+        found = {r.pos: (r.mean, r.deviation) for r in column_statistics(train, columns).collect()}
+        means, deviations = zip(*[found.get(i, (0.0, 1.0)) for i in range(len(columns))])
+        return Scaler(tuple(columns), means, deviations)
 
     def transform(self, df: DataFrame) -> DataFrame:
         """A projection: no join, no shuffle."""
-        return df.withColumns(
-            {
-                c: (F.coalesce(F.col(c).cast("double"), F.lit(m)) - F.lit(m)) / F.lit(s)
-                for c, m, s in zip(self.columns, self.means, self.deviations)
-            }
-        )
+        scaled = {
+            c: F.expr(f"(coalesce(CAST(`{c}` AS DOUBLE), {m!r}D) - {m!r}D) / {s!r}D")
+            for c, m, s in zip(self.columns, self.means, self.deviations)
+        }
+        return df.withColumns(scaled)
 
 
 def impute_scale(

@@ -34,7 +34,7 @@ class LogitModel:
         prediction: str = "predicted_class",
     ) -> DataFrame:
         """Scores as plain column arithmetic inside the scan's stage."""
-        score = weighted_sum([F.col(f) for f in self.features], list(self.weights)) + F.lit(self.bias)
+        score = weighted_sum(list(self.features), list(self.weights)) + F.lit(self.bias)
         return df.withColumn(probability, sigmoid(score)).withColumn(
             prediction, above_threshold(F.col(probability))
         )
@@ -145,6 +145,13 @@ class Experiment:
         export_json(metrics_document(self), f"{base}/metrics")
 
 
+def sized(train: DataFrame, features: int, task_bytes: int = 64 << 20) -> DataFrame:
+    """Fewer partitions when the matrix is small: an iterative fit pays for
+    every task in every iteration. Never fewer than ``task_bytes`` asks for."""
+    tasks = -(-train.count() * features * 8 // task_bytes)
+    return train.coalesce(max(1, tasks))
+
+
 def run_experiment(
     name: str,
     dataset: DataFrame,
@@ -163,7 +170,7 @@ def run_experiment(
     narrow = dataset.select(id_column, label, *features)
     train, held_out = stratified_split(narrow, label, id_column, test, seed)
     scaler = Scaler.fit(train, features)
-    scaled = scaler.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = scaler.transform(sized(train, len(features))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit_logit(scaled, features, label, **fit)
     finally:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from canton.functions import commune_id, composite_key, election_label, slugify, to_double, to_long
+from canton.functions import (
+    commune_id, composite_key, double_columns, election_label, slugify, to_double, to_long,
+)
 from canton.operators.aggregates import duel_label
 from canton.operators.dimensions import require_key
 from canton.operators.shaping import bounded_values
@@ -15,13 +17,19 @@ from canton.plans import layouts as L
 
 
 def wide_features(
-    df: DataFrame, keys: Sequence[str], features: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], features: Mapping[str, str]
 ) -> DataFrame:
-    """One column per feature; each column expression is NULL off its rows.
+    """One column per feature from SQL expressions that are NULL off their rows.
 
     A feature that no row of the key provides stays NULL. One shuffle.
     """
-    return df.groupBy(*keys).agg(*[F.max(c).alias(name) for name, c in features.items()])
+    return df.groupBy(*keys).agg(*[F.expr(f"max({e}) AS `{name}`") for name, e in features.items()])
+
+
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def labelled_facts(
@@ -62,17 +70,17 @@ def election_features(
         "id_commune",
         "election",
         slug.alias("slug"),
-        to_double(F.col("pct_voix_exprimes"), 0.0).alias("share"),
-        *[to_double(F.col(m), 0.0).alias(m) for m in L.FEATURE_METRICS],
+        *double_columns(rows, ("pct_voix_exprimes", *L.FEATURE_METRICS), 0.0),
     )
-    features: dict[str, Column] = {}
+    features: dict[str, str] = {}
     for election in sorted({e for _, e in names}):
-        here = F.col("election") == election
         for metric in L.FEATURE_METRICS:
-            features[f"{metric}_{election.lower()}"] = F.when(here, F.col(metric))
+            features[f"{metric}_{election.lower()}"] = (
+                f"CASE WHEN election = {_text(election)} THEN {metric} END"
+            )
     for name, election in names:
-        features[f"share_{name}_{election.lower()}"] = F.when(
-            (F.col("election") == election) & (F.col("slug") == name), F.col("share")
+        features[f"share_{name}_{election.lower()}"] = (
+            f"CASE WHEN election = {_text(election)} AND slug = {_text(name)} THEN pct_voix_exprimes END"
         )
     return wide_features(typed, ["id_commune"], features)
 
@@ -95,17 +103,16 @@ def safety_features(
         commune_id(F.col("id_commune")).alias("id_commune"),
         "year",
         "slug",
-        *[to_double(F.col(c), 0.0).alias(c) for c in ("taux_pour_mille", "insee_pop", "insee_log")],
+        *double_columns(rows, ("taux_pour_mille", "insee_pop", "insee_log"), 0.0),
     )
-    features: dict[str, Column] = {}
+    features: dict[str, str] = {}
     for year in years:
-        here = F.col("year") == year
         for s in slugs:
-            features[f"sec_rate_{s}_{year}"] = F.when(
-                here & (F.col("slug") == s), F.col("taux_pour_mille")
+            features[f"sec_rate_{s}_{year}"] = (
+                f"CASE WHEN year = {year} AND slug = {_text(s)} THEN taux_pour_mille END"
             )
         for c in ("insee_pop", "insee_log"):
-            features[f"{c}_{year}"] = F.when(here, F.col(c))
+            features[f"{c}_{year}"] = f"CASE WHEN year = {year} THEN {c} END"
     return wide_features(rows, ["id_commune"], features)
 
 

@@ -28,7 +28,9 @@ def numeric_columns(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
 def _counts(c: str, strict: bool) -> Column:
     """A count; ``strict`` fails on text that is no whole number."""
     value = F.col(f"`{c}`")
-    return strip(value).cast("long") if strict else to_long(decimal_point(value))
+    if strict:
+        return strip(value).cast("long")
+    return F.coalesce(value.try_cast("long"), to_double(decimal_point(value)).try_cast("long"))
 
 
 def commune_totals(
@@ -103,11 +105,15 @@ def conform_votes(
         "date_refresh": refreshed,
     }
 
+    types = dict(df.dtypes)
+
     def typed(name: str) -> Column:
         if name in special:
             return special[name]
         if name in as_text:
             return strip(F.col(name))
+        if types[name] == ("bigint" if name in as_count else "double"):
+            return F.col(name)
         if name in as_count:
             return to_long(F.col(name))
         return F.col(name) if name == "sexe" else to_double(F.col(name))

@@ -286,9 +286,8 @@ def pivot_sum_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def features_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = {}
     for e in ("click", "error", "purchase", "signup", "view"):
-        here = F.col("event_type") == e
-        features[f"max_{e}"] = F.when(here, F.col("value"))
-        features[f"early_{e}"] = F.when(here & (F.dayofmonth("ts") <= 10), F.col("value"))
+        features[f"max_{e}"] = f"CASE WHEN event_type = '{e}' THEN value END"
+        features[f"early_{e}"] = f"CASE WHEN event_type = '{e}' AND day(ts) <= 10 THEN value END"
     return wide_features(table(spark, sf_dir, "events"), ["user_id"], features)
 
 

@@ -133,6 +133,9 @@ def test_vectors(spark):
     a, b = F.array(F.lit(1.0), F.lit(2.0)), F.array(F.lit(3.0), F.lit(4.0))
     assert one(spark, C.dot(a, b)) == 11.0
     n = 301
-    assert one(spark, C.weighted_sum([F.lit(float(i)) for i in range(n)], [1.0] * n)) == n * (n - 1) / 2
+    df = spark.range(1).select(*[F.lit(float(i)).alias(f"c{i}") for i in range(n)])
+    total = C.weighted_sum([f"c{i}" for i in range(n)], [1.0] * n)
+    assert df.select(total).first()[0] == n * (n - 1) / 2
+    assert df.select(C.weighted_sum(["c2"], [-1.5e-7])).first()[0] == -3e-7
     assert one(spark, C.above_threshold(F.lit(0.5))) == 1
     assert one(spark, C.contains_any(F.lit("Code DEPT"), ["dept"]))
