@@ -18,7 +18,7 @@ def composite_key(*parts: Column, sep: str = "-") -> Column:
 def commune_id(c: Column) -> Column:
     """``69-1``, ``69-001`` or ``69-1.0`` to ``69-001``; undashed text is trimmed."""
     area = zfill(strip(F.substring_index(c, "-", 1)), 2)
-    local = code_text(F.substr(c, F.instr(c, "-") + 1), 3, anywhere=True)
+    local = code_text(F.regexp_extract(c, "(?s)-(.*)", 1), 3, anywhere=True)
     return F.when(F.contains(c, F.lit("-")), composite_key(area, local)).otherwise(strip(c))
 
 

@@ -26,7 +26,7 @@ def strip(c: Column) -> Column:
 
 def zfill(c: Column, width: int) -> Column:
     """Left-pad with zeros and never cut, unlike bare ``lpad``."""
-    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
+    return F.lpad(c, F.greatest(F.length(c), F.lit(width)), F.lit("0"))
 
 
 def lstrip_zeros(c: Column) -> Column:

@@ -19,7 +19,7 @@ from canton.plans.features import (
 from canton.plans.stars import build_safety_star, build_star
 from canton.session import durable
 from canton.workload.registry import query, table
-from canton.workload.stars import SAFETY_SQL, silver_safety
+from canton.workload.stars import SAFETY_SQL, safety_table
 from canton.workload.votes import SILVER_SQL, SLOTS, silver_table
 
 
@@ -179,7 +179,7 @@ def election_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _safety_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = build_safety_star(silver_safety(spark, sf_dir))
+    star = build_safety_star(safety_table(spark, sf_dir))
     return safety_features(star.fact_securite, star.dim_indicateur_securite)
 
 

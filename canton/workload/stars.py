@@ -8,6 +8,8 @@ from canton.operators.dimensions import lookup_key, surrogate_key
 from canton.plans import layouts as L
 from canton.plans.safety import conform_safety, wide_safety
 from canton.plans.stars import build_safety_star, build_star
+from canton.session import scratch_path
+from canton.sources.sinks import read_table, write_table
 from canton.workload.basics import cents
 from canton.workload.registry import query, sql_zfill, table
 from canton.workload.votes import SILVER_SQL, silver_table
@@ -194,6 +196,13 @@ def silver_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform_safety(bronze)
 
 
+def safety_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored silver table that the wide table and the star read."""
+    path = scratch_path(spark, "silver-safety")
+    write_table(silver_safety(spark, sf_dir), path)
+    return read_table(spark, path)
+
+
 @query("silver_safety", f"WITH {SAFETY_SQL} SELECT *, code_departement || code_commune AS code_insee_commune FROM safety")
 def silver_safety_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive_times(silver_safety(spark, sf_dir))
@@ -212,7 +221,7 @@ def silver_safety_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     + " FROM safety GROUP BY ALL",
 )
 def wide_safety_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wide_safety(silver_safety(spark, sf_dir))
+    return wide_safety(safety_table(spark, sf_dir))
 
 
 _SAFETY_DIM = """
@@ -223,7 +232,7 @@ _SAFETY_DIM = """
 
 @query("gold_dim_indicator", f"WITH {SAFETY_SQL}, {_SAFETY_DIM} SELECT * FROM dim")
 def gold_dim_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_safety_star(silver_safety(spark, sf_dir)).dim_indicateur_securite
+    return build_safety_star(safety_table(spark, sf_dir)).dim_indicateur_securite
 
 
 @query(
@@ -238,7 +247,7 @@ def gold_dim_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def gold_fact_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return naive_times(build_safety_star(silver_safety(spark, sf_dir)).fact_securite)
+    return naive_times(build_safety_star(safety_table(spark, sf_dir)).fact_securite)
 
 
 @query(
