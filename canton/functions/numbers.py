@@ -8,12 +8,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from canton.functions.text import strip
+from canton.functions.text import decimal_point, strip
 
 
-# Text the JVM parser takes but that is no number here: "1d", "1f" and
-# hexadecimal floats. The f of "inf" and "infinity" follows an n.
-_JVM_ONLY_NUMBER = "[dDxX]|[^nN][fF]"
+# What counts as a number. The JVM parser would also take "1d", "1f" and
+# hexadecimal floats, and throws (slowly) on anything else.
+_NUMBER = (
+    r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+)
+_DIGITS = r"^\s*[+-]?\d+\s*$"
+
+
+def _parsed(text: Column) -> Column:
+    return F.when(F.rlike(text, F.lit(_NUMBER)), text.try_cast("double"))
 
 
 def to_double(c: Column, default: float | None = None) -> Column:
@@ -21,31 +28,32 @@ def to_double(c: Column, default: float | None = None) -> Column:
 
     Numeric input passes through: ``typeof`` is a plan-time constant, so only
     the branch of the actual type is left in the compiled plan. Text is parsed
-    as it stands; it is stripped and parsed again only when that fails, and
-    blanks are never parsed (a failed parse costs an exception).
+    as it stands; the full strip runs only when that fails.
     """
     text = c.cast("string")
     trimmed = strip(text)
-    parsed = F.coalesce(
-        F.when(text != "", text.try_cast("double")),
-        F.when(trimmed != text, trimmed.try_cast("double")),
-    )
     value = F.when(F.typeof(c) != "string", c.try_cast("double")).otherwise(
-        F.when(~F.rlike(text, F.lit(_JVM_ONLY_NUMBER)), parsed)
+        F.coalesce(_parsed(text), F.when(trimmed != text, _parsed(trimmed)))
     )
     if default is not None:
         value = F.coalesce(value, F.lit(float(default)))
     return F.nanvl(value, F.lit(None).cast("double"))
 
 
-def to_long(c: Column, default: int | None = None) -> Column:
+def to_long(c: Column, default: int | None = None, decimal_comma: bool = False) -> Column:
     """Text to whole number, cut toward zero ("1.9" -> 1).
 
-    Plain whole numbers are cast directly; the rest goes through double.
+    Plain digits are cast directly, so long codes stay exact; other text goes
+    through double, with ``decimal_comma`` also as "1,9".
     """
-    direct = F.when(F.typeof(c) == "string", c.cast("string").try_cast("long"))
-    through_double = F.coalesce(direct, to_double(c).try_cast("long"))
-    value = F.when(F.typeof(c) == "bigint", c.try_cast("long")).otherwise(through_double)
+    text = c.cast("string")
+    direct = F.when(
+        (F.typeof(c) == "string") & F.rlike(text, F.lit(_DIGITS)), text.try_cast("long")
+    )
+    number = to_double(decimal_point(text) if decimal_comma else c).try_cast("long")
+    value = F.when(F.typeof(c) == "bigint", c.try_cast("long")).otherwise(
+        F.coalesce(direct, number)
+    )
     return value if default is None else F.coalesce(value, F.lit(default).cast("long"))
 
 

@@ -28,9 +28,7 @@ def numeric_columns(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
 def _counts(c: str, strict: bool) -> Column:
     """A count; ``strict`` fails on text that is no whole number."""
     value = F.col(f"`{c}`")
-    if strict:
-        return strip(value).cast("long")
-    return F.coalesce(value.try_cast("long"), to_double(decimal_point(value)).try_cast("long"))
+    return strip(value).cast("long") if strict else to_long(value, decimal_comma=True)
 
 
 def commune_totals(

@@ -85,6 +85,10 @@ def test_number_defaults(spark):
     assert one(spark, C.to_long(F.lit("-1.9"))) == -1
     assert one(spark, C.to_long(F.lit("9007199254740993"))) == 9007199254740993
     assert one(spark, C.to_long(F.lit("1e30"), 7)) == 7
+    assert one(spark, C.to_long(F.lit("99999999999999999999"), 7)) == 7
+    assert one(spark, C.to_long(F.lit(" 12,9 "), decimal_comma=True)) == 12
+    assert one(spark, C.to_long(F.lit("12,9"))) is None
+    assert one(spark, C.to_long(F.lit(3).cast("int"))) == 3
     assert one(spark, C.to_long(F.lit("x"), 7)) == 7
     assert one(spark, C.to_long(F.lit(2.9))) == 2
     assert one(spark, C.to_long(F.lit(5).cast("long"))) == 5
