@@ -29,6 +29,8 @@ def test_query(spark, duck, sf_dir, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     result = df.toArrow()
-    assert result.num_rows > 0
     if name in CHECKS:
+        # A filter may select nothing from the smallest tables; SQL says so too.
         assert differences(result, duck.sql(CHECKS[name]).to_arrow_table()) == []
+    else:
+        assert result.num_rows > 0
