@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from canton.functions import (
     above_threshold, code_text, commune_id, contains_any, decimal_point, dot, election_label, half_even,
     insee_commune_id, iso_text, lstrip_zeros, numbered_id, pct, per_mille, sigmoid, slugify,
-    strip, timestamp_or_null, to_double, to_long, truncated, whole, year_of,
+    timestamp_or_null, to_double, to_long, truncated, whole, year_of,
 )
 from canton.operators.aggregates import (
     common_rows, duel_label, first_and_sum, keep_first, key_drift, vanished_rows, winner_per_group,

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from canton.functions import half_even
 from canton.operators.aggregates import class_balance
-from canton.operators.metrics import METRICS, classification_metrics, majority_class
-from canton.operators.scaling import Scaler, impute_scale
+from canton.operators.metrics import classification_metrics, majority_class
+from canton.operators.scaling import impute_scale
 from canton.operators.split import stratified_split
 from canton.plans import layouts as L
 from canton.plans.experiment import ablation, comparison, metrics_document
