@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from canton.llm.mtree import exact_top_k
 from canton.llm.secrets import secret_scan
+from canton.llm.spotsigs import edited_fingerprints
 from canton.llm.token_counts import token_counts
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op3_spot_signatures")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op6_exact_top_k",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id
+      WHERE q.vec_id % 100 = 0
+    ), ranked AS (
+      SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+             vec_id, score
+      FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_secret_scan")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
