@@ -33,9 +33,9 @@ def choose_bands(similarity: float, recall: float, max_hashes: int) -> tuple[int
     most rows whose necessary bands stay within ``max_hashes`` hashes are
     taken; one row per band is the fallback.
     """
-    best = (max(1, math.ceil(math.log(1 - recall) / math.log(1 - similarity))), 1)
+    best = (max(1, math.ceil(math.log(1 - recall) / math.log1p(-similarity))), 1)
     for rows in range(2, max_hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows))
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-(similarity**rows)))
         if bands * rows <= max_hashes:
             best = (bands, rows)
     return best
