@@ -50,13 +50,15 @@ def matrix(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def products(vectors: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:
-    """Integer inner products; beyond doubles they are taken in Python's integers."""
+def products(vectors: np.ndarray, queries: np.ndarray, exact: bool) -> np.ndarray:
+    """(queries, vectors) integer inner products; beyond doubles in Python's integers."""
     if exact:
-        return vectors.astype(np.float64) @ q.astype(np.float64)
+        return queries.astype(np.float64) @ vectors.astype(np.float64).T
     low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
-    whole = vectors.astype(object) @ q.astype(object)
-    return np.array([min(max(x, low), high) for x in whole], object)
+    whole = queries.astype(object) @ vectors.astype(object).T
+    out = np.empty(whole.shape, object)
+    out.flat = [min(max(x, low), high) for x in whole.flat]
+    return out
 
 
 class Tree:
@@ -120,39 +122,64 @@ class Tree:
         tree.top = top
         return tree
 
-    def search(self, q: np.ndarray, own: int, k: int, bound: float | None) -> list[tuple[int, int]]:
-        """The k best (score, id) of this page that reach ``bound``."""
-        q2 = float((q.astype(np.float64) ** 2).sum())
-        exact = max(q2, self.top) < _EXACT
-        slack = 1e-6 * (1 + self.top**0.5 + q2**0.5)
+    def search(
+        self, queries: np.ndarray, own: np.ndarray, k: int, bounds: np.ndarray
+    ) -> list[list[tuple[int, int]]]:
+        """Per query of a block, the k best (score, id) of this page that reach its bound.
 
-        def far(score) -> float:
-            return max(q2 + self.top - 2 * float(score), 0) ** 0.5
+        Nodes are visited best-first by the least lower bound over the block;
+        a query takes part in a visit only while its own bound allows it.
+        """
+        q2 = (queries.astype(np.float64) ** 2).sum(axis=1)
+        exact = max(float(q2.max(initial=0)), self.top) < _EXACT
+        slack = 1e-6 * (1 + self.top**0.5 + q2**0.5)
 
-        best: list[tuple[int, int]] = []
-        limit = float("inf") if bound is None else far(bound) + slack
-        heap: list[tuple[float, int, float]] = [(0.0, 0, -1.0)]
-        while heap and heap[0][0] <= limit:
-            low, node, to_parent = heapq.heappop(heap)
-            e = np.arange(self.first[node], self.first[node + 1])
-            if to_parent >= 0:  # no distance is computed for entries this rules out
-                e = e[np.abs(to_parent - self.parent[e]) - self.radius[e] <= limit]
-            if not len(e):
+        def far(score, i) -> np.ndarray:
+            return np.sqrt(np.maximum(q2[i] + self.top - 2 * score, 0))
+
+        best: list[list[tuple[int, int]]] = [[] for _ in own]
+        everyone = np.arange(len(own))
+        limit = np.where(np.isinf(bounds), np.inf, far(np.where(np.isinf(bounds), 0, bounds), everyone) + slack)
+        # (least lower bound, node, queries, their lower bounds, their distances to the parent)
+        heap: list[tuple] = [(0.0, 0, everyone, np.zeros(len(own)), None)]
+        while heap:
+            _, node, asked, lows, to_parent = heapq.heappop(heap)
+            still = lows <= limit[asked]
+            asked, lows = asked[still], lows[still]
+            if not len(asked):
                 continue
-            scores = products(self.vectors[self.object[e]], q, exact)
-            distance = np.sqrt(np.maximum(q2 + self.top - 2 * scores.astype(np.float64), 0))
+            e = np.arange(self.first[node], self.first[node + 1])
+            if to_parent is not None:
+                # No distance is computed for entries this rules out for all.
+                gap = np.abs(to_parent[still][:, None] - self.parent[e]) - self.radius[e]
+                open_to = gap <= limit[asked][:, None]
+                some, who = open_to.any(axis=0), open_to.any(axis=1)
+                e, asked, lows, open_to = e[some], asked[who], lows[who], open_to[np.ix_(who, some)]
+                if not len(e):
+                    continue
+            else:
+                open_to = np.ones((len(asked), len(e)), bool)
+            scores = products(self.vectors[self.object[e]], queries[asked], exact)
+            distance = far(scores.astype(np.float64), asked[:, None])
             if self.child[e[0]] < 0:
                 ids = self.ids[self.object[e]]
-                keep = (ids != own) & (distance <= limit)
-                best += [(int(s), int(i)) for s, i in zip(scores[keep], ids[keep])]
-                best.sort(key=lambda x: (-x[0], x[1]))
-                del best[k:]
-                if len(best) == k:
-                    limit = min(limit, far(best[-1][0]) + slack)
+                keep = open_to & (ids != own[asked][:, None]) & (distance <= limit[asked][:, None])
+                for row in np.flatnonzero(keep.any(axis=1)):
+                    i, new = asked[row], keep[row]
+                    best[i] += zip(map(int, scores[row][new]), ids[new].tolist())
+                    best[i].sort(key=lambda x: (-x[0], x[1]))
+                    del best[i][k:]
+                    if len(best[i]) == k:
+                        limit[i] = min(limit[i], far(float(best[i][-1][0]), i) + slack[i])
                 continue
-            lows = np.maximum(distance - self.radius[e], low)
-            for n in np.flatnonzero(lows <= limit):
-                heapq.heappush(heap, (float(lows[n]), int(self.child[e[n]]), float(distance[n])))
+            inner = np.maximum(distance - self.radius[e], lows[:, None])
+            for n in range(len(e)):
+                go = open_to[:, n] & (inner[:, n] <= limit[asked])
+                if go.any():
+                    low = inner[go, n]
+                    heapq.heappush(
+                        heap, (float(low.min()), int(self.child[e[n]]), asked[go], low, distance[go, n])
+                    )
         return best
 
 
@@ -240,10 +267,10 @@ def exact_top_k(
                     if v.shape[1] in seed_v:
                         sid, sv = seed_v[v.shape[1]]
                         exact = max(top, float((q.astype(float) ** 2).sum(axis=1).max())) < _EXACT
-                        for i in range(len(own)):
-                            s = products(sv[sid != own[i]], q[i], exact)
-                            if len(s) >= k:
-                                bounds[i] = float(np.sort(s)[-k])
+                        s = products(sv, q, exact).astype(np.float64)
+                        s[own[:, None] == sid] = -np.inf
+                        if s.shape[1] >= k:
+                            bounds = np.sort(s, axis=1)[:, -k]
                     yield pa.RecordBatch.from_pydict(
                         {n: pa.array([x.tobytes()], pa.binary()) for n, x in (("own", own), ("q", q), ("bound", bounds))}
                     )
@@ -261,10 +288,8 @@ def exact_top_k(
                 q = np.frombuffer(row["q"], np.int64).reshape(len(own), -1)
                 if q.shape[1] != tree.vectors.shape[1]:
                     continue
-                found: list[tuple[int, int, int]] = []
-                for i, bound in enumerate(np.frombuffer(row["bound"], np.float64)):
-                    got = tree.search(q[i], own[i], k, None if np.isinf(bound) else bound)
-                    found += [(int(own[i]), vec, score) for score, vec in got]
+                got = tree.search(q, own, k, np.frombuffer(row["bound"], np.float64))
+                found = [(int(i), vec, score) for i, best in zip(own, got) for score, vec in best]
                 columns = list(zip(*found)) or [(), (), ()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"]

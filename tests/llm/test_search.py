@@ -56,7 +56,7 @@ def test_tree_leaves_out_computations():
     computed, products = [], mtree.products
     try:
         mtree.products = lambda v, q, exact: computed.append(len(v)) or products(v, q, exact)
-        got = tree.search(vectors[5], 5, 10, None)
+        (got,) = tree.search(vectors[5:6], np.array([5]), 10, np.array([-np.inf]))
     finally:
         mtree.products = products
     scores = vectors @ vectors[5]
