@@ -14,6 +14,7 @@ from canton.llm.secrets import secret_scan
 from canton.llm.sentencepieces import encode_documents
 from canton.llm.spotsigs import edited_fingerprints
 from canton.llm.token_counts import token_counts
+from canton.llm.toxicity import fit, labelled_sample, score_toxicity
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit(*labelled_sample(docs, table(spark, sf_dir, "labels"))))
+
+
 @query("op2_ngram_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
