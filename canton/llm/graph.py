@@ -14,6 +14,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """A stored table, marked for broadcast if it is counted to have ``most`` rows at most."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every end of an edge (u, v): the least node it reaches.
 

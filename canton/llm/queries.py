@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from canton.llm.line_dedup import dedup_lines
+from canton.llm.mixing import sample_mix
 from canton.llm.mtree import exact_top_k
 from canton.llm.ngram_join import near_duplicates
 from canton.llm.repeats import remove_repeats
@@ -58,6 +59,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs, counts=True)
 
 
+@query("op5_source_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sample_mix(table(spark, sf_dir, "documents")).drop("mark")
+
+
 @query(
     "op6_exact_top_k",
     """
