@@ -17,6 +17,7 @@ _NUMBER = (
     r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 )
 _DIGITS = r"^\s*[+-]?\d+\s*$"
+_COUNT = r"^([+-]?\d+)(?:[.,]0*)?$"
 
 
 def _parsed(text: Column) -> Column:
@@ -57,6 +58,18 @@ def to_long(c: Column, default: int | None = None, decimal_comma: bool = False)
     return value if default is None else F.coalesce(value, F.lit(default).cast("long"))
 
 
+def count_or_fail(c: Column) -> Column:
+    """A whole number, also as "12.0" or "12,0"; other text fails the job, NULL stays NULL."""
+    text = strip(c.cast("string"))
+    digits = F.regexp_extract(text, _COUNT, 1)
+    parsed = F.when(F.rlike(text, F.lit(_DIGITS)), text.try_cast("long")).otherwise(
+        F.when(digits != "", digits.try_cast("long"))
+    )
+    failed = F.raise_error(F.concat(F.lit("no whole number: "), text)).cast("long")
+    value = F.when(F.typeof(c) == "bigint", c.try_cast("long")).otherwise(parsed)
+    return F.when(c.isNotNull(), F.coalesce(value, failed))
+
+
 def double_columns(df: DataFrame, names, default: float | None = None) -> list[Column]:
     """``to_double`` for the text columns among ``names``; typed ones stay."""
     types = dict(df.dtypes)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canton.functions.keys import numbered_id
-from canton.session import durable
+from canton.session import broadcast_if_small, durable
 
 _ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id: row number inside its partition
 
@@ -70,11 +70,12 @@ def lookup_key(
 ) -> DataFrame:
     """Attach the other columns of ``dim`` to ``fact``.
 
-    ``null_safe`` lets a NULL key part match NULL. The physical join follows
-    the measured size of ``dim``: broadcast when small, else sort-merge with
-    adaptive skew splitting on the fact side.
+    ``null_safe`` lets a NULL key part match NULL. Pass a stored ``dim``: its
+    rows are counted (file metadata), and a small one is broadcast, so that the
+    facts are never dealt out by a key of a few values. A larger one is joined
+    by sort-merge, where adaptive execution splits a hot key on the fact side.
     """
-    right = dim.select([F.col(c).alias(f"dim__{c}") for c in dim.columns])
+    right = broadcast_if_small(dim).select([F.col(c).alias(f"dim__{c}") for c in dim.columns])
 
     def same(k: str) -> Column:
         a, b = fact[k], right[f"dim__{k}"]

@@ -14,6 +14,7 @@ from canton.operators.aggregates import duel_label
 from canton.operators.dimensions import require_key
 from canton.operators.shaping import bounded_values
 from canton.plans import layouts as L
+from canton.session import stored_table
 
 
 def wide_features(
@@ -37,12 +38,17 @@ def labelled_facts(
 ) -> DataFrame:
     """Vote facts with election label, candidate name and canonical commune key.
 
-    A fact with an unknown election or candidate fails the job.
+    A fact with an unknown election or candidate fails the job. The dimensions'
+    labels are stored first: derived ones would be estimated, and joined, as if
+    they had the facts' size.
     """
-    elections = dim_election.select(
-        "id_election", election_label(F.col("annee_election"), F.col("tour")).alias("election")
+    elections = stored_table(
+        dim_election.select(
+            "id_election", election_label(F.col("annee_election"), F.col("tour")).alias("election")
+        ),
+        "elections",
     )
-    candidates = dim_candidat.select("id_candidat", "nom")
+    candidates = stored_table(dim_candidat.select("id_candidat", "nom"), "candidates")
     df = require_key(facts, elections, ["id_election"], "election")
     df = require_key(df, candidates, ["id_candidat"], "nom")
     return df.withColumn("id_commune", commune_id(F.col("id_commune")))
@@ -93,8 +99,9 @@ def safety_features(
 ) -> DataFrame:
     """Indicator rates, population and housing per year."""
     rows = facts.withColumn("year", to_long(F.col("annee"), 0)).where(F.col("year").isin(list(years)))
-    dim = dim_indicateur.select(
-        "id_indicateur_securite", slugify(F.col("indicateur")).alias("slug")
+    dim = stored_table(
+        dim_indicateur.select("id_indicateur_securite", slugify(F.col("indicateur")).alias("slug")),
+        "indicators",
     )
     rows = require_key(rows, dim, ["id_indicateur_securite"], "slug")
     if slugs is None:

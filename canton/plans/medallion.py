@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canton.operators.quality import (
     cascade, ceiling_check, enforce, not_negative, reference_check, run_checks, unique_check,
@@ -30,7 +30,7 @@ from canton.plans.votes import silver_votes, stations_to_communes
 from canton.sources.delimited import file_order, read_delimited, read_wide_votes, sniff_delimiter
 from canton.sources.sinks import export_json, read_table, with_audit, write_table
 from canton.sources.workbooks import read_workbooks
-from canton.session import durable
+from canton.session import durable, stored_table
 
 DEPARTMENT_WORDS = ("département", "departement", "dept")
 
@@ -126,30 +126,36 @@ def build_votes(
     area: str,
     out: str,
     loaded_at: str | None = None,
+    reference_order: Column | str | None = None,
 ) -> VoteStar:
     """All result files to a stored, checked vote star.
 
     Files have their own slot counts, so each gets its bronze and silver
-    folder; the star reads all silver folders at once. Critical quality
-    failures stop the run after the report is written.
+    folder; the star reads all silver folders at once. Of repeated reference
+    rows the first in the file counts, or in ``reference_order``. The star is
+    staged, what was staged is checked, and only then published: critical
+    quality failures stop the run after the report is written.
     """
     for source in sources:
         bronze, silver = (f"{out}/{layer}/votes/{source.name}" for layer in ("bronze", "silver"))
         write_table(bronze_votes(spark, source, area, loaded_at), bronze)
         rows = silver_votes(
             read_table(spark, bronze), reference, source.name, (source.year, source.round),
-            loaded_at, reference_on,
+            loaded_at, reference_on, order=reference_order,
         )
         write_table(rows, silver)
     votes = read_table(spark, [f"{out}/silver/votes/{s.name}" for s in sources])
-    star = build_star(votes, loaded_at)
+    build_star(votes, loaded_at).save(f"{out}/staging/votes")
+    star = _stored_star(spark, f"{out}/staging/votes")
     report = durable(vote_report(votes, star))
     export_json(report, f"{out}/quality/votes")
     enforce(report)
     star.save(f"{out}/gold/votes")
-    return VoteStar(
-        **{n: read_table(spark, f"{out}/gold/votes/{n}") for n in VoteStar.__dataclass_fields__}
-    )
+    return _stored_star(spark, f"{out}/gold/votes")
+
+
+def _stored_star(spark: SparkSession, path: str) -> VoteStar:
+    return VoteStar(**{n: read_table(spark, f"{path}/{n}") for n in VoteStar.PARTS})
 
 
 def build_safety(spark: SparkSession, path: str, out: str) -> SafetyStar:
@@ -158,9 +164,7 @@ def build_safety(spark: SparkSession, path: str, out: str) -> SafetyStar:
     silver = read_table(spark, f"{out}/silver/safety")
     write_table(wide_safety(silver), f"{out}/gold/dim_securite")
     build_safety_star(silver).save(f"{out}/gold/safety")
-    return SafetyStar(
-        **{n: read_table(spark, f"{out}/gold/safety/{n}") for n in SafetyStar.__dataclass_fields__}
-    )
+    return SafetyStar(**{n: read_table(spark, f"{out}/gold/safety/{n}") for n in SafetyStar.PARTS})
 
 
 def build_model(
@@ -180,7 +184,12 @@ def build_model(
     The feature table is computed and stored once; the second experiment only
     leaves columns out.
     """
-    facts = durable(labelled_facts(votes.fact_resultats, votes.dim_election, votes.dim_candidat))
+    facts = stored_table(
+        labelled_facts(votes.fact_resultats, votes.dim_election, votes.dim_candidat).select(
+            "id_commune", "election", "nom", "voix", "pct_voix_exprimes", *L.FEATURE_METRICS
+        ),
+        "labelled-facts",
+    )
     dataset = assemble(
         commune_labels(facts, target, winner, loser, label),
         election_features(facts, exclude=[target]),

@@ -7,11 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from canton.functions import (
-    code_text, decimal_point, half_even, iso_text, pct, strip, to_double, to_long, whole,
+    code_text, count_or_fail, decimal_point, half_even, iso_text, pct, strip, to_double, to_long,
+    whole,
 )
 from canton.operators.aggregates import first_and_sum, keep_first, vote_shares, vote_totals
+from canton.operators.quality import Rule
 from canton.operators.shaping import matching_columns, slot_count, unpivot_slots
 from canton.plans import layouts as L
+from canton.sources.delimited import file_order
 
 
 def numeric_columns(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
@@ -26,13 +29,24 @@ def numeric_columns(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
 
 
 def _counts(c: str, strict: bool) -> Column:
-    """A count; ``strict`` fails on text that is no whole number."""
+    """A count; ``strict`` fails on text that is no whole number, else it is NULL."""
     value = F.col(f"`{c}`")
-    return strip(value).cast("long") if strict else to_long(value, decimal_comma=True)
+    return count_or_fail(value) if strict else to_long(value, decimal_comma=True)
+
+
+def readable_counts(bronze: DataFrame, slots: int | None = None) -> list[Rule]:
+    """A quality rule per count column: its texts are whole numbers.
+
+    For runs that coerce counts instead of stopping (``strict=False``).
+    """
+    n = slots or slot_count(bronze.columns, list(L.SLOT_FIELDS))
+    names = [*L.COUNT_FIELDS, *[f"Voix_{k}" for k in range(1, n + 1)]]
+    broken = {c: F.col(f"`{c}`").isNotNull() & _counts(c, False).isNull() for c in names}
+    return [Rule(f"{c}_readable", b, critical=False) for c, b in broken.items()]
 
 
 def commune_totals(
-    bronze: DataFrame, keys: Mapping[str, str], strict: bool = False
+    bronze: DataFrame, keys: Mapping[str, str], strict: bool = True
 ) -> DataFrame:
     """Station counts summed per key, with turnout shares."""
     stations = bronze.select(
@@ -49,7 +63,7 @@ def commune_totals(
 
 
 def candidate_votes(
-    bronze: DataFrame, keys: Mapping[str, str], slots: int | None = None, strict: bool = False
+    bronze: DataFrame, keys: Mapping[str, str], slots: int | None = None, strict: bool = True
 ) -> DataFrame:
     """Votes per key and candidate from the wide slots."""
     n = slots or slot_count(bronze.columns, list(L.SLOT_FIELDS))
@@ -69,21 +83,24 @@ def enrich(
     df: DataFrame,
     reference: DataFrame,
     on: Mapping[str, str],
-    order: Column | str | None = None,
+    order: Column | str,
 ) -> DataFrame:
     """Left join a reference by trimmed keys with other names.
 
     ``on`` maps a column of ``df`` to its column in ``reference``. Repeated
-    reference keys keep the first row in ``order`` (default: the smallest row).
+    reference keys keep the first row in ``order``: ``file_order()`` for a
+    file, a line number for a literal table (a column by name is left out of
+    the result).
     """
-    kept = [c for c in reference.columns if c not in on.values()]
+    left_out = {*on.values(), *([order] if isinstance(order, str) else [])}
+    kept = [c for c in reference.columns if c not in left_out]
     ref = reference.select(
         *[strip(F.col(f"`{c}`")).alias(f"ref__{c}") for c in on.values()],
         *[F.col(f"`{c}`") for c in kept],
-        *([] if order is None else [(F.col(order) if isinstance(order, str) else order).alias("ref__order")]),
+        (F.col(f"`{order}`") if isinstance(order, str) else order).alias("ref__order"),
     )
     ref_keys = [f"ref__{c}" for c in on.values()]
-    ref = keep_first(ref, ref_keys, F.struct(*kept) if order is None else "ref__order")
+    ref = keep_first(ref, ref_keys, "ref__order")
     left = df.withColumns({c: strip(F.col(c)) for c in on})
     condition = [left[c] == ref[f"ref__{r}"] for c, r in on.items()]
     return left.join(ref, condition, "left").drop(*ref_keys, "ref__order")
@@ -127,12 +144,16 @@ def silver_votes(
     date_refresh: str | None = None,
     on: Mapping[str, str] | None = None,
     slots: int | None = None,
-    strict: bool = False,
+    strict: bool = True,
+    order: Column | str | None = None,
 ) -> DataFrame:
     """Wide bronze stations to one row per commune and candidate.
 
     Without ``election`` the bronze table carries ``annee_election`` and
     ``tour`` itself and any number of elections is processed in one plan.
+    ``order`` says which of repeated reference rows is the first; the default,
+    their place in the file, asks for a reference that is a plain file scan.
+    Unreadable counts fail the job unless ``strict`` is false.
     """
     keys = dict(L.AREA_FIELDS)
     if election is None:
@@ -143,7 +164,8 @@ def silver_votes(
     rows = vote_shares(items, totals, list(keys.values()), "voix", shares)
     if election is not None:
         rows = with_election(rows, *election)
-    rows = enrich(rows, reference, on or {"nom": "nom", "prenom": "prenom"})
+    first = file_order() if order is None else order
+    rows = enrich(rows, reference, on or {"nom": "nom", "prenom": "prenom"}, first)
     return conform_votes(rows, source_dataset, date_refresh)
 
 

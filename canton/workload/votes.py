@@ -153,9 +153,14 @@ def station_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_reference(spark: SparkSession) -> DataFrame:
-    """Party of each candidate; one is listed twice, the last one is unknown."""
+    """Party of each candidate by line; the last candidate is unknown.
+
+    Two are listed again with a smaller and with no party: the first line counts.
+    """
     rows = [(f"P{k}", f" CANDIDAT {k}", f"PARTI {k % 3}") for k in range(1, SLOTS)]
-    return literal_table(spark, ["prenom", "nom", "nuance"], [*rows, ("P1", "CANDIDAT 1", "PARTI 9")])
+    rows += [("P1", "CANDIDAT 1", "PARTI 0"), ("P2", "CANDIDAT 2", None)]
+    lines = [(n, *r) for n, r in enumerate(rows)]
+    return literal_table(spark, ["line", "prenom", "nom", "nuance"], lines)
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,7 +172,8 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_votes(
-        bronze_votes(spark, sf_dir), candidate_reference(spark), SOURCE, date_refresh=REFRESHED
+        bronze_votes(spark, sf_dir), candidate_reference(spark), SOURCE, date_refresh=REFRESHED,
+        order="line",
     )
 
 

@@ -11,9 +11,10 @@ from canton.plans.features import (
     assemble, commune_labels, election_features, labelled_facts, safety_features,
 )
 from canton.plans.safety import conform_safety, wide_safety
+from canton.operators.quality import run_checks
 from canton.plans.stars import build_safety_star, build_star
 from canton.plans.votes import (
-    enrich, numeric_columns, silver_votes, stations_to_communes, versus,
+    enrich, numeric_columns, readable_counts, silver_votes, stations_to_communes, versus,
 )
 from canton.sources import file_order, literal_table, read_delimited, read_wide_votes
 
@@ -78,14 +79,24 @@ def test_bronze_to_silver(spark, bronze, reference, rows):
     assert (a.pct_vot_ins, a.pct_exprimes_vot, a.pct_voix_exprimes, a.pct_voix_ins) == (80.0, 91.67, 50.0, 36.67)
     assert (a.annee_election, a.tour, a.prenom, a.nuance, a.numero_panneau) == (2017, 1, "Emmanuel", None, 2)
     b = got["002", "LE PEN"]
-    assert b.nuance in ("RN", "XX") and b.libelle_commune == "Saint-Cœur €"
+    assert b.nuance == "RN" and b.libelle_commune == "Saint-Cœur €"
     assert (b.pct_vot_ins, b.pct_blancs_vot, b.pct_voix_exprimes, b.pct_voix_ins) == (0.0, 0.0, 0.0, 0.0)
 
 
 def test_strict_counts_fail_on_text(spark, bronze, reference):
     bad = bronze.withColumn("Inscrits", F.lit("12,5"))
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        silver_votes(bad, reference, "x", (2017, 1), on=ON, strict=True).collect()
+    with pytest.raises(Exception, match="no whole number: 12,5"):
+        silver_votes(bad, reference, "x", (2017, 1), on=ON).collect()
+    oops = bronze.withColumn("Voix_2", F.lit("oops"))
+    with pytest.raises(Exception, match="no whole number: oops"):
+        silver_votes(oops, reference, "x", (2017, 1), on=ON).collect()
+    comma = bronze.withColumn("Inscrits", F.lit("12,0"))
+    got = silver_votes(comma, reference, "x", (2017, 1), on=ON).select("inscrits").collect()
+    assert {r[0] for r in got} <= {12, 24}
+    coerced = silver_votes(oops, reference, "x", (2017, 1), on=ON, strict=False)
+    assert coerced.where("numero_panneau = 2 AND voix IS NOT NULL").count() == 0
+    found = run_checks(oops, readable_counts(oops)).where("failed > 0").collect()
+    assert [(r.check_name, r.failed) for r in found] == [("Voix_2_readable", oops.count())]
 
 
 def test_reference_keeps_the_first_row(spark, rows):
