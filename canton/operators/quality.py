@@ -6,7 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+_ORDERED = 10_000  # distinct values that are ordered on the driver at most
 
 
 @dataclass(frozen=True)
@@ -136,25 +138,36 @@ def fill_unknown(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 def median_value(df: DataFrame, column: str, accuracy: int = 10_000) -> float | None:
     """Exact median without sorting the column.
 
-    A sketch brackets the middle within a known rank error, the rows below the
-    bracket are counted, and only the distinct values inside it are ordered.
+    A sketch brackets the middle within a known rank error and what lies below
+    is counted; the bracket is narrowed again until it holds few distinct
+    values, and only these are ordered. Each pass aggregates; none moves rows.
     """
     c = F.col(column)
-    margin = 2.0 / accuracy
-    sketch = F.percentile_approx(c, [0.5 - margin, 0.5 + margin], accuracy)
-    low_high = df.agg(sketch.alias("b")).first()["b"]
-    if low_high is None:
+    n = df.agg(F.count(c)).first()[0]
+    if not n:
         return None
-    low, high = low_high
-    n, below = df.agg(F.count(c), F.count_if(c < low)).first()
-    inside = df.where(c.between(low, high)).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + below
-    ranks = inside.select("v", upto.alias("upto"))
-    middle = [
-        F.min(F.when(F.col("upto") >= rank, F.col("v"))) for rank in ((n + 1) // 2, n // 2 + 1)
-    ]
-    a, b = ranks.agg(*middle).first()
-    return (a + b) / 2
+    ranks = ((n + 1) // 2, n // 2 + 1)
+    low = high = None
+    while True:
+        inside = df.where(c.isNotNull() if low is None else c.between(low, high))
+        below = 0 if low is None else df.agg(F.count_if(c < low)).first()[0]
+        held = n if low is None else inside.agg(F.count(c)).first()[0]
+        values = inside.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        few = values.limit(_ORDERED + 1).collect()
+        if len(few) <= _ORDERED:
+            break
+        margin = 2.0 / accuracy
+        shares = [min(1.0, max(0.0, (r - below) / held + m)) for r, m in zip(ranks, (-margin, margin))]
+        new = inside.agg(F.percentile_approx(c, shares, accuracy).alias("b")).first()["b"]
+        if [low, high] == list(new):
+            raise RuntimeError(f"the bracket of {column} does not narrow")
+        low, high = new
+    upto, found = below, []
+    for value, count in sorted((r["v"], r["n"]) for r in few):
+        upto += count
+        while len(found) < 2 and upto >= ranks[len(found)]:
+            found.append(value)
+    return (found[0] + found[1]) / 2
 
 
 def fill_median(df: DataFrame, column: str) -> DataFrame:

@@ -52,9 +52,7 @@ def repair_slot_header(
     return slot_columns(columns[:start], fields, slots) + tail
 
 
-def rename_positional(
-    df: DataFrame, names: Mapping[str, str]
-) -> DataFrame:
+def rename_positional(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename the columns that exist; names absent from ``df`` are ignored."""
     return df.withColumnsRenamed(dict(names))
 
@@ -97,20 +95,23 @@ def unpivot_slots(
     return df.select(*[F.col(f"`{k}`") for k in keys], F.inline(F.array(*rows)))
 
 
-def bounded_values(df: DataFrame, column: str | Column, what: str) -> list:
-    """Sorted distinct non-null values that become column names.
+def column_values(df: DataFrame, *columns: str) -> list:
+    """Sorted distinct non-null values that are to become columns.
 
-    The bound is Spark's own limit for pivot values; beyond it a table cannot
-    be made wide and the long form is the answer, so this raises.
+    Column names are part of a plan, so they are gathered on the driver. For
+    more values than a table should have columns use a long form, such as
+    ``long_sum``, which needs none of them.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    value = F.col(column) if isinstance(column, str) else column
-    rows = (
-        df.select(value.alias("v")).where("v IS NOT NULL").distinct().limit(limit + 1).collect()
-    )
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct {what}")
-    return sorted(r[0] for r in rows)
+    rows = df.select(*columns).dropna().distinct().collect()
+    return sorted(r[0] if len(columns) == 1 else tuple(r) for r in rows)
+
+
+def long_sum(
+    df: DataFrame, index: Sequence[str], column: str, value: str, blank_as_zero: bool = False
+) -> DataFrame:
+    """The pivot in long form: one summed row per index and value, any number of values."""
+    amount = F.coalesce(F.col(value), F.lit(0)) if blank_as_zero else F.col(value)
+    return df.dropna(subset=[*index, column]).groupBy(*index, column).agg(F.sum(amount).alias(value))
 
 
 def pivot_sum(
@@ -126,10 +127,11 @@ def pivot_sum(
     Conditional sums need a single shuffle of partially aggregated rows, where
     the pivot operator needs two. Rows with a NULL index are dropped; a pair
     that never occurs is NULL. ``blank_as_zero`` counts a NULL value as 0, so a
-    pair with only blank values gives 0.
+    pair with only blank values gives 0. Without ``values`` all values of the
+    data become columns.
     """
     if values is None:
-        values = bounded_values(df, column, f"values of {column}")
+        values = column_values(df, column)
     amount = F.coalesce(F.col(value), F.lit(0)) if blank_as_zero else F.col(value)
     sums = [
         F.sum(F.when(F.col(column) == F.lit(v), amount)).alias(clean_name(str(v)))

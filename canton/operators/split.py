@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from canton.session import broadcast_if_small, stored_table
+
 # 16^5 buckets per class: a bucket holds about a millionth of its class.
 _BUCKET_DIGITS = 5
 
@@ -15,68 +15,43 @@ def shuffle_hash(id_column: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_column).cast("string")))
 
 
-@dataclass(frozen=True)
-class Splitter:
-    """Per class, the last hash of the training part (one text per class)."""
-
-    label: str
-    id_column: str
-    seed: int
-    last_train_hash: dict = field(default_factory=dict)
-
-    @staticmethod
-    def fit(
-        df: DataFrame, label: str, id_column: str, test: float = 0.2, seed: int = 42
-    ) -> "Splitter":
-        """Find the cut of every class.
-
-        The first ``max(1, round(n * (1 - test)))`` rows of a class in hash
-        order train. A class can hold most of the table, so none is sorted: its
-        rows are counted per hash bucket, and only the bucket with the cut is
-        ranked. No row is shuffled but those of the cut buckets.
-        """
-        limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        rows = df.select(
-            F.col(label).alias("y"), shuffle_hash(id_column, seed).alias("h")
-        ).where("y IS NOT NULL")
-        bucket = F.substring("h", 1, _BUCKET_DIGITS)
-        buckets = rows.groupBy("y", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-        by_class = Window.partitionBy("y")
-        so_far = by_class.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-        wanted = F.greatest(F.lit(1), F.rint(F.sum("n").over(by_class) * (1 - test)).cast("long"))
-        cuts = (
-            buckets.withColumns({"upto": F.sum("n").over(so_far), "wanted": wanted})
-            .where("upto >= wanted AND upto - n < wanted")
-            .selectExpr("y", "bucket", "wanted - upto + n AS take")
-            .limit(limit + 1)
-            .collect()
-        )
-        if len(cuts) > limit:
-            raise ValueError(f"{label} has more than {limit} classes")
-        if not cuts:
-            return Splitter(label, id_column, seed)
-
-        cut_bucket = _by_class({r.y: r.bucket for r in cuts}, F.col("y"))
-        take = _by_class({r.y: r["take"] for r in cuts}, F.col("y"))
-        place = F.row_number().over(Window.partitionBy("y").orderBy("h"))
-        last = (
-            rows.where(bucket == cut_bucket)
-            .withColumn("place", place)
-            .where(F.col("place") == take)
-            .collect()
-        )
-        return Splitter(label, id_column, seed, {r.y: r.h for r in last})
-
-    def is_train(self) -> Column:
-        if not self.last_train_hash:
-            return F.lit(None).cast("boolean")
-        cut = _by_class(self.last_train_hash, F.col(self.label))
-        return shuffle_hash(self.id_column, self.seed) <= cut
-
+def class_cuts(
+    df: DataFrame, label: str, id_column: str, test: float = 0.2, seed: int = 42
+) -> DataFrame:
+    """(y, cut): per class, the last hash of its training part.
 
-def _by_class(values: dict, label: Column) -> Column:
-    pairs = [F.lit(x) for pair in values.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), label)
+    The first ``max(1, round(n * (1 - test)))`` rows of a class in hash order
+    train. A class can hold most of the table, so none is sorted: its rows are
+    counted per hash bucket, and only the bucket with the cut is ranked. The
+    cuts are a table of one row per class, however many classes there are.
+    """
+    rows = df.select(F.col(label).alias("y"), shuffle_hash(id_column, seed).alias("h")).where("y IS NOT NULL")
+    bucket = F.substring("h", 1, _BUCKET_DIGITS)
+    buckets = rows.groupBy("y", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    by_class = Window.partitionBy("y")
+    so_far = by_class.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = F.greatest(F.lit(1), F.rint(F.sum("n").over(by_class) * (1 - test)).cast("long"))
+    cuts = stored_table(
+        buckets.withColumns({"upto": F.sum("n").over(so_far), "wanted": wanted})
+        .where("upto >= wanted AND upto - n < wanted")
+        .select("y", "bucket", (F.col("wanted") - F.col("upto") + F.col("n")).alias("take")),
+        "cuts",
+    )
+    inside = rows.withColumn("bucket", bucket).join(broadcast_if_small(cuts), ["y", "bucket"])
+    place = F.row_number().over(Window.partitionBy("y").orderBy("h"))
+    last = inside.withColumn("place", place).where(F.col("place") == F.col("take"))
+    return stored_table(last.select("y", F.col("h").alias("cut")), "cuts")
+
+
+def split_by(
+    df: DataFrame, cuts: DataFrame, label: str, id_column: str, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of ``df`` by known cuts; a small cut table is broadcast."""
+    right = broadcast_if_small(cuts.select(F.col("y").alias("cut__y"), F.col("cut").alias("cut__h")))
+    joined = df.join(right, F.col(f"`{label}`") == F.col("cut__y"))
+    is_train = shuffle_hash(id_column, seed) <= F.col("cut__h")
+    parts = (joined.where(is_train), joined.where(~is_train))
+    return parts[0].select(df.columns), parts[1].select(df.columns)
 
 
 def stratified_split(
@@ -86,5 +61,4 @@ def stratified_split(
 
     ``id_column`` must be unique; rows without a label are in neither part.
     """
-    is_train = Splitter.fit(df, label, id_column, test, seed).is_train()
-    return df.where(is_train), df.where(~is_train)
+    return split_by(df, class_cuts(df, label, id_column, test, seed), label, id_column, seed)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from canton.functions import above_threshold, sigmoid, weighted_sum
 from canton.operators.metrics import METRICS, classification_metrics, majority_class
 from canton.operators.scaling import Scaler
-from canton.operators.split import stratified_split
+from canton.operators.split import class_cuts, split_by
 from canton.sources.literal import literal_table
 from canton.sources.sinks import export_csv, export_json
 
@@ -145,13 +145,6 @@ class Experiment:
         export_json(metrics_document(self), f"{base}/metrics")
 
 
-def sized(train: DataFrame, features: int, task_bytes: int = 64 << 20) -> DataFrame:
-    """Fewer partitions when the matrix is small: an iterative fit pays for
-    every task in every iteration. Never fewer than ``task_bytes`` asks for."""
-    tasks = -(-train.count() * features * 8 // task_bytes)
-    return train.coalesce(max(1, tasks))
-
-
 def run_experiment(
     name: str,
     dataset: DataFrame,
@@ -160,17 +153,21 @@ def run_experiment(
     id_column: str,
     test: float = 0.2,
     seed: int = 42,
+    cuts: DataFrame | None = None,
     **fit,
 ) -> Experiment:
     """Split, impute and scale, fit, predict and score one feature set.
 
-    Pass a stored or cached ``dataset``: the fit reads it repeatedly.
+    Pass a stored ``dataset``: the fit reads it repeatedly. ``cuts`` is a split
+    that is known already.
     """
     spark = dataset.sparkSession
     narrow = dataset.select(id_column, label, *features)
-    train, held_out = stratified_split(narrow, label, id_column, test, seed)
+    if cuts is None:
+        cuts = class_cuts(dataset, label, id_column, test, seed)
+    train, held_out = split_by(narrow, cuts, label, id_column, seed)
     scaler = Scaler.fit(train, features)
-    scaled = scaler.transform(sized(train, len(features))).persist(StorageLevel.MEMORY_AND_DISK)
+    scaled = scaler.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit_logit(scaled, features, label, **fit)
     finally:
@@ -219,6 +216,14 @@ def comparison(experiments: Sequence[Experiment]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def comparison_document(experiments: Sequence[Experiment]) -> DataFrame:
+    """One row with the complete metrics of each experiment under its name."""
+    rows = [
+        metrics_document(e).select(F.struct("*").alias(e.name)) for e in experiments
+    ]
+    return reduce(DataFrame.crossJoin, rows)  # one row each
+
+
 def ablation(
     dataset: DataFrame,
     feature_sets: Mapping[str, Sequence[str]],
@@ -226,8 +231,10 @@ def ablation(
     id_column: str,
     **options,
 ) -> list[Experiment]:
-    """The same data set and split with several feature sets."""
+    """The same data set with several feature sets and one split, fitted once."""
+    split = {k: options[k] for k in ("test", "seed") if k in options}
+    cuts = class_cuts(dataset, label, id_column, **split)
     return [
-        run_experiment(name, dataset, features, label, id_column, **options)
+        run_experiment(name, dataset, features, label, id_column, cuts=cuts, **options)
         for name, features in feature_sets.items()
     ]

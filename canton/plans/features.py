@@ -8,11 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from canton.functions import (
-    commune_id, composite_key, double_columns, election_label, slugify, to_double, to_long,
+    commune_id, double_columns, election_label, slugify, to_double, to_long,
 )
 from canton.operators.aggregates import duel_label
 from canton.operators.dimensions import require_key
-from canton.operators.shaping import bounded_values
+from canton.operators.shaping import column_values
 from canton.plans import layouts as L
 from canton.session import stored_table
 
@@ -67,17 +67,18 @@ def election_features(
     counts as 0; only an absent row leaves NULL.
     """
     rows = facts.where(~F.col("election").isin(list(exclude))) if exclude else facts
-    slug = slugify(F.col("nom"))
-    if names is None:
-        pair = composite_key(slug, F.col("election"), sep="|")
-        names = [tuple(v.split("|")) for v in bounded_values(rows, pair, "share features")]
-    # Typed once per row here, so the many conditional columns stay tiny.
+    # A few columns per (commune, election, candidate), compiled; what is
+    # pivoted afterwards is small and holds each name once.
     typed = rows.select(
-        "id_commune",
-        "election",
-        slug.alias("slug"),
+        "id_commune", "election", "nom",
         *double_columns(rows, ("pct_voix_exprimes", *L.FEATURE_METRICS), 0.0),
     )
+    narrow = typed.groupBy("id_commune", "election", "nom").agg(
+        *[F.max(c).alias(c) for c in ("pct_voix_exprimes", *L.FEATURE_METRICS)]
+    )
+    narrow = stored_table(narrow.withColumn("slug", slugify(F.col("nom"))), "election-features")
+    if names is None:
+        names = column_values(narrow, "slug", "election")
     features: dict[str, str] = {}
     for election in sorted({e for _, e in names}):
         for metric in L.FEATURE_METRICS:
@@ -88,7 +89,7 @@ def election_features(
         features[f"share_{name}_{election.lower()}"] = (
             f"CASE WHEN election = {_text(election)} AND slug = {_text(name)} THEN pct_voix_exprimes END"
         )
-    return wide_features(typed, ["id_commune"], features)
+    return wide_features(narrow, ["id_commune"], features)
 
 
 def safety_features(
@@ -105,7 +106,7 @@ def safety_features(
     )
     rows = require_key(rows, dim, ["id_indicateur_securite"], "slug")
     if slugs is None:
-        slugs = bounded_values(dim, "slug", "indicators")
+        slugs = column_values(dim, "slug")
     rows = rows.select(
         commune_id(F.col("id_commune")).alias("id_commune"),
         "year",

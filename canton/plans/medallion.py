@@ -20,7 +20,7 @@ from canton.operators.shaping import (
     check_arity, filter_area, find_column, repair_slot_header, stripped_names,
 )
 from canton.plans import layouts as L
-from canton.plans.experiment import Experiment, ablation, comparison
+from canton.plans.experiment import Experiment, ablation, comparison, comparison_document
 from canton.plans.features import (
     assemble, commune_labels, election_features, labelled_facts, safety_features,
 )
@@ -212,4 +212,5 @@ def build_model(
     for run in runs:
         run.save(f"{out}/model")
     export_json(comparison(runs), f"{out}/model/comparison")
+    export_json(comparison_document(runs), f"{out}/model/comparison_metrics")
     return runs

@@ -28,7 +28,7 @@ def restore_cp1252(c: Column) -> Column:
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
-    columns: Sequence[str] | None = None,
+    columns: Sequence[str] | T.StructType | None = None,
     sep: str = ";",
     encoding: str = "UTF-8",
     header: bool = True,
@@ -38,6 +38,8 @@ def read_delimited(
 
     With ``columns`` the names are imposed and ``header`` only says whether the
     first line of each file is skipped; without it names come from the header.
+    A ``StructType`` imposes types as well: no value is inferred, and a value
+    that its type cannot hold fails the job.
     A byte-order mark is dropped. ``missing`` lists extra spellings of "no value".
     ``encoding="cp1252"``, which the reader does not know, is read as
     ISO-8859-1 and mapped back exactly.
@@ -52,17 +54,21 @@ def read_delimited(
         mode="PERMISSIVE",
         inferSchema=False,
     )
-    if columns is not None:
+    if isinstance(columns, T.StructType):
+        reader = reader.schema(columns).option("mode", "FAILFAST")
+    elif columns is not None:
         reader = reader.schema(text_schema(columns))
     df = reader.csv(path)
     if not (as_latin or missing):
         return df
 
+    types = dict(df.dtypes)
+
     def cleaned(name: str) -> Column:
         value = F.col(f"`{name}`")
-        if as_latin:
+        if as_latin and types[name] == "string":
             value = restore_cp1252(value)
-        if missing:
+        if missing and types[name] == "string":
             value = F.when(~value.isin(*missing), value)
         return value.alias(restored(name) if as_latin else name)
 
@@ -96,30 +102,36 @@ def sniff_delimiter(
     spark: SparkSession,
     path: str,
     candidates: Sequence[str] = (";", ",", "\t", "|"),
-    lines: int = 20,
 ) -> str:
-    """The separator that occurs equally often in each of the head lines.
+    """The separator that occurs most often in the head line of every file.
 
-    Reads only the first ``lines`` lines. Falls back to the most frequent one
-    when quoted text makes the counts uneven.
+    One aggregate by file finds the head lines. Files of a glob that differ in
+    their separator cannot be read together: that raises, as does a file
+    without any candidate.
     """
-    head = spark.read.text(path).limit(lines)
-    counts = {
-        i: F.size(F.split(F.col("value"), "\\" + sep if sep == "|" else sep)) - 1
-        for i, sep in enumerate(candidates)
-    }
-    row = head.agg(
-        *[F.min(c).alias(f"low{i}") for i, c in counts.items()],
-        *[F.max(c).alias(f"high{i}") for i, c in counts.items()],
-    ).first()
-    scores = {
-        sep: (row[f"low{i}"] == row[f"high{i}"] and row[f"low{i}"] > 0, row[f"low{i}"] or 0)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    counts = [
+        F.struct(
+            F.size(F.split(F.col("head"), "\\" + sep if sep == "|" else sep)) - 1,
+            F.lit(-i), F.lit(sep).alias("sep"),
+        )
         for i, sep in enumerate(candidates)
-        if row[f"high{i}"]
-    }
-    if not scores:
-        raise ValueError(f"no known separator in the head of {path}")
-    return max(scores, key=scores.get)
+    ]
+    best = F.array_max(F.array(*counts))
+    found = (
+        lines.groupBy("file").agg(F.min_by("value", "place").alias("head"))
+        .select(F.when(best["col1"] > 0, best["sep"]).alias("sep"), "file")
+        .groupBy("sep").agg(F.min("file").alias("file"))
+        .collect()  # a row per separator
+    )
+    if not found or any(r["sep"] is None for r in found):
+        raise ValueError(f"no known separator in the head of {found[0]['file'] if found else path}")
+    if len(found) > 1:
+        raise ValueError("files with different separators: " + ", ".join(sorted(r["file"] for r in found)))
+    return found[0]["sep"]
 
 
 def file_order() -> Column:

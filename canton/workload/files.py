@@ -226,14 +226,14 @@ _SLOT_HEADER = ["N°Panneau", "Sexe", "Nom", "Prénom", "Voix"]
     """
     SELECT order_no, slot, candidate, votes FROM (
       SELECT l_orderkey AS order_no, CAST(l_linenumber AS BIGINT) AS slot, 'C' || l_linenumber AS candidate, sum(l_quantity) AS votes
-      FROM lineitem WHERE l_linenumber <= 2 GROUP BY ALL
+      FROM lineitem GROUP BY ALL
       UNION ALL
-      SELECT o.k, s.slot, 'C' || s.slot, NULL FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem) o, (VALUES (1), (2)) s(slot)
+      SELECT o.k, s.slot, 'C' || s.slot, NULL FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem) o, (VALUES (1), (2), (3), (4), (5), (6), (7)) s(slot)
       WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.k AND l.l_linenumber = s.slot))
     """,
 )
 def workbook_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two-slot workbooks whose second slot has blank headers.
+    """Workbooks with seven slots of which all but the first have blank headers.
 
     Orders are spread over workbooks of bounded size, so more data means more
     workbooks; the header is repaired and the slots are unpivoted.
@@ -242,7 +242,7 @@ def workbook_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.sum(F.when(F.col("l_linenumber") == k, F.col("l_quantity"))).cast("string")
 
     fields = {}
-    for k in (1, 2):
+    for k in range(1, SLOTS + 1):
         fields |= {
             f"panel_{k}": F.lit(str(k)), f"sex_{k}": F.lit("F"), f"name_{k}": F.lit(f"C{k}"),
             f"first_{k}": F.lit("P & Q"), f"votes_{k}": voix(k),
@@ -255,7 +255,7 @@ def workbook_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("code"),
         *fields,
     )
-    header = ["Code", *_SLOT_HEADER, *[None] * len(_SLOT_HEADER)]
+    header = ["Code", *_SLOT_HEADER, *[None] * (len(_SLOT_HEADER) * (SLOTS - 1))]
     books = pack_sheets(wide, header, "book")
     rows = workbook_table(books, [h or f"Unnamed: {i}" for i, h in enumerate(header)])
     named = check_arity(rows, repair_slot_header(rows.columns, _SLOT_HEADER))

@@ -210,3 +210,19 @@ def test_null_policy(spark, rows):
     assert rows(fill_median(fill_unknown(df, {"n": "DVR"}), "p")) == [("DVR", 4.0), ("X", 6.0), ("Y", 8.0)]
     empty = df.where("p > 100")
     assert median_value(empty, "p") is None
+
+
+def test_split_with_many_classes(spark):
+    df = spark.range(60_000).selectExpr("id", "id % 20000 AS y")
+    train, test = stratified_split(df, "y", "id")
+    assert (train.count(), test.count()) == (40_000, 20_000)
+
+
+def test_median_of_a_continuous_column(spark):
+    df = spark.range(60_001).selectExpr("rand(3) * 1000 AS v")
+    values = sorted(r[0] for r in df.collect())
+    for accuracy in (100, 10_000):
+        assert median_value(df, "v", accuracy) == values[30_000]
+    even = df.limit(60_000)
+    values = sorted(r[0] for r in even.collect())
+    assert median_value(even, "v", 100) == (values[29_999] + values[30_000]) / 2

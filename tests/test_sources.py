@@ -2,6 +2,7 @@ import zipfile
 from io import BytesIO
 
 import pytest
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from canton.operators.shaping import (
@@ -66,6 +67,24 @@ def test_sniff_prefers_the_even_separator(spark, tmp_path):
         sniff_delimiter(spark, str(file))
 
 
+def test_sniff_reads_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x;y\n1;2\n")
+    (tmp_path / "b.csv").write_text("x,y\n1,2\n")
+    with pytest.raises(ValueError, match="different separators"):
+        sniff_delimiter(spark, f"{tmp_path}/*.csv")
+
+
+def test_typed_read(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_text("k;n\n01;5\n02;\n")
+    schema = "k string, n int"
+    typed = read_delimited(spark, str(file), StructType.fromDDL(schema))
+    assert [tuple(r) for r in typed.collect()] == [("01", 5), ("02", None)]
+    file.write_text("k;n\n01;five\n")
+    with pytest.raises(Exception, match="MALFORMED|CAST|five"):
+        read_delimited(spark, str(file), StructType.fromDDL(schema)).collect()
+
+
 def test_glob_audit_and_order(spark, tmp_path, rows):
     (tmp_path / "2017-t1.csv").write_text("k\na\nb\n")
     (tmp_path / "2017-t2.csv").write_text("k\nc\n")
