@@ -119,8 +119,8 @@ def fit_logit(
         elasticNetParam=0.0,
         standardization=False,
         family="binomial",
-        maxIter=100,
-        tol=1e-6,
+        maxIter=500,
+        tol=1e-12,
     ).fit(rows.select("features__v", label))
     return LogitModel(
         tuple(features), tuple(map(float, fitted.coefficients)), float(fitted.intercept)

@@ -17,7 +17,7 @@ from canton.plans.features import (
     assemble, commune_labels, election_features, labelled_facts, safety_features,
 )
 from canton.plans.stars import build_safety_star, build_star
-from canton.session import durable
+from canton.session import stored_table
 from canton.workload.registry import query, table
 from canton.workload.stars import SAFETY_SQL, safety_table
 from canton.workload.votes import SILVER_SQL, SLOTS, silver_table
@@ -189,7 +189,12 @@ def safety_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = durable(_vote_facts(spark, sf_dir))
+    facts = stored_table(
+        _vote_facts(spark, sf_dir).select(
+            "id_commune", "election", "nom", "voix", "pct_voix_exprimes", *L.FEATURE_METRICS
+        ),
+        "labelled-facts",
+    )
     targets = commune_labels(facts, TARGET, "CANDIDAT 1", "CANDIDAT 2", "first_wins")
     return assemble(
         targets, election_features(facts, exclude=LATER), _safety_features(spark, sf_dir)
@@ -210,7 +215,7 @@ def model_dataset_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _experiments(spark: SparkSession, sf_dir: str):
-    dataset = durable(model_dataset(spark, sf_dir))
+    dataset = stored_table(model_dataset(spark, sf_dir), "model-dataset")
     features = [c for c in dataset.columns if c not in ("id_commune", "first_wins")]
     sets = {
         "with_last_round": features,
@@ -230,29 +235,109 @@ def logit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_experiment(spark: SparkSession, sf_dir: str):
-    dataset = durable(_document_features(spark, sf_dir))
-    sets = {"size_and_language": ["size", "english"], "size_only": ["size"]}
-    return ablation(dataset, sets, "quality", "doc_id")
+    dataset = stored_table(_document_features(spark, sf_dir), "document-features")
+    return ablation(dataset, _LOGIT_SETS, "quality", "doc_id")
+
+
+_STEPS = 14  # Newton steps from zero: far more than the few that matter
+
+
+def _newton_sql(name: str, features: list[str]) -> str:
+    """CTEs ``{name}_s{k}``: the penalised likelihood's solution (w0 is the bias)."""
+    n = len(features) + 1
+    x = ["1.0", *features]
+    state = ", ".join(f"CAST(0 AS DOUBLE) AS w{i}" for i in range(n))
+    out = [f"{name}_s0 AS (SELECT {state})"]
+    score = " + ".join(f"w{i} * {x[i]}" for i in range(n))
+    for k in range(1, _STEPS + 1):
+        ridge = ["0", *["0.001"] * (n - 1)]
+        gradient = [f"avg((p - y) * {x[i]}) + {ridge[i]} * any_value(w{i}) AS g{i}" for i in range(n)]
+        curve = [
+            f"avg(p * (1 - p) * {x[i]} * {x[j]})" + (f" + {ridge[i]}" if i == j else "") + f" AS h{i}{j}"
+            for i in range(n) for j in range(i, n)
+        ]
+        keep = [f"any_value(w{i}) AS w{i}" for i in range(n)]
+        out.append(
+            f"{name}_g{k} AS (SELECT {', '.join([*keep, *gradient, *curve])} FROM ("
+            f"SELECT *, 1 / (1 + exp(-({score}))) AS p FROM train, {name}_s{k - 1}))"
+        )
+        if n == 2:
+            det = "(h00 * h11 - h01 * h01)"
+            steps = [f"(h11 * g0 - h01 * g1) / {det}", f"(h00 * g1 - h01 * g0) / {det}"]
+        else:
+            cofactor = {
+                "00": "(h11 * h22 - h12 * h12)", "01": "(h02 * h12 - h01 * h22)", "02": "(h01 * h12 - h02 * h11)",
+                "11": "(h00 * h22 - h02 * h02)", "12": "(h01 * h02 - h00 * h12)", "22": "(h00 * h11 - h01 * h01)",
+            }
+            det = f"(h00 * {cofactor['00']} + h01 * {cofactor['01']} + h02 * {cofactor['02']})"
+            steps = [
+                "(" + " + ".join(f"{cofactor[min(f'{i}{j}', f'{j}{i}')]} * g{j}" for j in range(3)) + f") / {det}"
+                for i in range(3)
+            ]
+        new = ", ".join(f"w{i} - {s} AS w{i}" for i, s in enumerate(steps))
+        out.append(f"{name}_s{k} AS (SELECT {new} FROM {name}_g{k})")
+    return ",\n".join(out)
+
+
+_LOGIT_SETS = {"size_and_language": ["size", "english"], "size_only": ["size"]}
+_LOGIT_SQL = f"""
+    WITH {_SPLIT_SQL},
+    f AS (SELECT p.doc_id, p.part, p.quality, CASE WHEN n_chars >= 300 THEN n_chars END AS size,
+                 CAST(lang = 'en' AS INTEGER) AS english FROM parts p LEFT JOIN documents d ON p.doc_id = d.doc_id),
+    s AS (SELECT avg(size) AS size_mean, stddev_pop(size) AS size_std, avg(english) AS en_mean, stddev_pop(english) AS en_std
+          FROM f WHERE part = 'train'),
+    scaled AS (SELECT doc_id, part, quality, CAST(quality AS DOUBLE) AS y, (coalesce(size, size_mean) - size_mean) / size_std AS size,
+                      (coalesce(english, en_mean) - en_mean) / en_std AS english FROM f, s),
+    train AS (SELECT * FROM scaled WHERE part = 'train'),
+    {",".join(_newton_sql(n, fs) for n, fs in _LOGIT_SETS.items())}
+"""
+
+
+def _sql_round(x: str) -> str:
+    return f"round_even(({x}) * 10000, 0) / 10000"
 
 
-@query("logit_experiment")
+def _predicted_sql(name: str, features: list[str]) -> str:
+    score = " + ".join(["w0", *[f"w{i} * {f}" for i, f in enumerate(features, 1)]])
+    p = f"1 / (1 + exp(-({score})))"
+    return (
+        f"SELECT '{name}' AS experiment, doc_id, quality, CAST({p} >= 0.5 AS INTEGER) AS predicted_class, "
+        f"{_sql_round(p)} AS predicted_proba FROM scaled, {name}_s{_STEPS} WHERE part = 'test'"
+    )
+
+
+def _importance_sql(name: str, features: list[str]) -> str:
+    rows = [
+        f"SELECT '{name}' AS experiment, '{f}' AS feature, {_sql_round(f'w{i}')} AS coefficient, "
+        f"{_sql_round(f'abs(w{i})')} AS abs_coefficient FROM {name}_s{_STEPS}"
+        for i, f in enumerate(features, 1)
+    ]
+    return " UNION ALL ".join(rows)
+
+
+@query("logit_experiment", _LOGIT_SQL + " UNION ALL ".join(_predicted_sql(n, f) for n, f in _LOGIT_SETS.items()))
 def logit_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out predictions of two feature sets on the document labels."""
     return reduce(
         DataFrame.unionByName,
         [
-            e.predictions.select(F.lit(e.name).alias("experiment"), "*")
+            e.predictions.select(F.lit(e.name).alias("experiment"), "*").withColumn(
+                "predicted_proba", half_even(F.col("predicted_proba"), 4)
+            )
             for e in _document_experiment(spark, sf_dir)
         ],
     )
 
 
-@query("logit_importance")
+@query("logit_importance", _LOGIT_SQL + " UNION ALL ".join(_importance_sql(n, f) for n, f in _LOGIT_SETS.items()))
 def logit_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(
         DataFrame.unionByName,
         [
-            e.importance.select(F.lit(e.name).alias("experiment"), "*")
+            e.importance.select(
+                F.lit(e.name).alias("experiment"), "feature",
+                *[half_even(F.col(c), 4).alias(c) for c in ("coefficient", "abs_coefficient")],
+            )
             for e in _document_experiment(spark, sf_dir)
         ],
     )

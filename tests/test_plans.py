@@ -11,7 +11,9 @@ from canton.plans.features import (
     assemble, commune_labels, election_features, labelled_facts, safety_features,
 )
 from canton.plans.safety import conform_safety, wide_safety
+from canton.operators.dimensions import lookup_key, surrogate_key
 from canton.operators.quality import run_checks
+from canton.session import stored_table
 from canton.plans.stars import build_safety_star, build_star
 from canton.plans.votes import (
     enrich, numeric_columns, readable_counts, silver_votes, stations_to_communes, versus,
@@ -297,3 +299,18 @@ def test_ablation_and_its_files(spark, tmp_path, rows):
     assert saved.columns == ["feature", "coefficient", "abs_coefficient"] and saved.count() == 3
     assert spark.read.json(f"{tmp_path}/all/metrics").first().features_count == 3
     assert read_delimited(spark, f"{tmp_path}/all/test_predictions", sep=",").count() == 24
+
+
+def test_small_dimension_leaves_the_facts_where_they_are(spark):
+    """The dimension derives from the facts and would be estimated at their size."""
+    facts = spark.range(40_000).selectExpr("id", "concat('k', id % 7) AS k")
+    dim = stored_table(surrogate_key(facts, ["k"], "id_k", "K"), "dim")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        out = lookup_key(facts, dim, ["k"])
+        assert out.where("id_k IS NULL").count() == 0
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
