@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -65,3 +66,14 @@ def slugify(c: Column) -> Column:
         SLUG_LETTERS + "_" * len(SLUG_SEPARATORS),
     )
     return F.btrim(F.regexp_replace(folded, "_+", "_"), F.lit("_"))
+
+
+def sql_name(name: str) -> str:
+    """A column name, quoted for SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_double(value: float) -> str:
+    """A double as SQL text; text like ``infD`` would be no number."""
+    value = float(value)
+    return f"{value!r}D" if math.isfinite(value) else f"CAST('{value!r}' AS DOUBLE)"

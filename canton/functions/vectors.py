@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from canton.functions.text import sql_double, sql_name
+
 # Fixed value: scores are clamped to this range before the exponential.
 SIGMOID_LIMIT = 50.0
 
@@ -26,7 +28,7 @@ def weighted_sum(columns: list[str], weights: list[float]) -> Column:
     The sum is built as a balanced tree, so wide models keep a shallow
     expression that whole-stage codegen can compile.
     """
-    terms = [f"`{c}` * {float(w)!r}D" for c, w in zip(columns, weights, strict=True)]
+    terms = [f"{sql_name(c)} * {sql_double(w)}" for c, w in zip(columns, weights, strict=True)]
     while len(terms) > 1:
         paired = [f"({a} + {b})" for a, b in zip(terms[::2], terms[1::2])]
         terms = paired + terms[len(paired) * 2:]

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from canton.functions.text import sql_double, sql_name
+
 
 def mean_or_zero(c: Column | str) -> Column:
     return F.coalesce(F.avg(c), F.lit(0.0))
@@ -23,7 +25,7 @@ def column_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The columns of a row become one array that is exploded into a grouped
     aggregate, so the plan stays the same size for any number of columns.
     """
-    values = F.array(*[F.col(c).cast("double") for c in columns])
+    values = F.array(*[F.col(sql_name(c)).cast("double") for c in columns])
     return (
         df.select(F.posexplode(values).alias("pos", "value"))
         .groupBy("pos")
@@ -48,8 +50,10 @@ class Scaler:
     def transform(self, df: DataFrame) -> DataFrame:
         """A projection: no join, no shuffle."""
         scaled = {
-            c: F.expr(f"(coalesce(CAST(`{c}` AS DOUBLE), {m!r}D) - {m!r}D) / {s!r}D")
-            for c, m, s in zip(self.columns, self.means, self.deviations)
+            c: F.expr(f"(coalesce(CAST({sql_name(c)} AS DOUBLE), {m}) - {m}) / {s}")
+            for c, m, s in zip(
+                self.columns, map(sql_double, self.means), map(sql_double, self.deviations)
+            )
         }
         return df.withColumns(scaled)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from canton.functions.text import sql_name
 from canton.session import broadcast_if_small, stored_table
 
 # 16^5 buckets per class: a bucket holds about a millionth of its class.
@@ -51,7 +52,8 @@ def split_by(
     joined = df.join(right, F.col(f"`{label}`") == F.col("cut__y"))
     is_train = shuffle_hash(id_column, seed) <= F.col("cut__h")
     parts = (joined.where(is_train), joined.where(~is_train))
-    return parts[0].select(df.columns), parts[1].select(df.columns)
+    kept = [sql_name(c) for c in df.columns]
+    return parts[0].select(kept), parts[1].select(kept)
 
 
 def stratified_split(

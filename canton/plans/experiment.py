@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from canton.functions import above_threshold, sigmoid, weighted_sum
+from canton.functions.text import sql_name
 from canton.operators.metrics import METRICS, classification_metrics, majority_class
 from canton.operators.scaling import Scaler
 from canton.operators.split import class_cuts, split_by
@@ -73,7 +74,9 @@ def _descend(
 ) -> LogitModel:
     """Full-batch gradient descent from zero; only the gradient vector of an
     epoch reaches the driver. The bias is not regularised."""
-    data = train.select(*[F.col(f).cast("double") for f in features], F.col(label).cast("double"))
+    data = train.select(
+        *[F.col(sql_name(f)).cast("double").alias(f) for f in features], F.col(label).cast("double")
+    )
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     weights, bias = np.zeros(len(features)), 0.0
     try:
@@ -109,19 +112,24 @@ def fit_logit(
         return _descend(train, features, label, lr, epochs, l2)
     if solver != "mllib":
         raise ValueError(f"unknown solver {solver}")
-    rows = VectorAssembler(inputCols=list(features), outputCol="features__v").transform(
-        train.select(*features, F.col(label).cast("double").alias(label))
+    # Plain names for the assembler, which cannot quote.
+    plain = [f"f{i}" for i in range(len(features))]
+    rows = VectorAssembler(inputCols=plain, outputCol="features__v").transform(
+        train.select(
+            *[F.col(sql_name(f)).alias(p) for f, p in zip(features, plain)],
+            F.col(sql_name(label)).cast("double").alias("label__y"),
+        )
     )
     fitted = LogisticRegression(
         featuresCol="features__v",
-        labelCol=label,
+        labelCol="label__y",
         regParam=l2,
         elasticNetParam=0.0,
         standardization=False,
         family="binomial",
         maxIter=500,
         tol=1e-12,
-    ).fit(rows.select("features__v", label))
+    ).fit(rows.select("features__v", "label__y"))
     return LogitModel(
         tuple(features), tuple(map(float, fitted.coefficients)), float(fitted.intercept)
     )
@@ -162,7 +170,7 @@ def run_experiment(
     that is known already.
     """
     spark = dataset.sparkSession
-    narrow = dataset.select(id_column, label, *features)
+    narrow = dataset.select(id_column, label, *map(sql_name, features))
     if cuts is None:
         cuts = class_cuts(dataset, label, id_column, test, seed)
     train, held_out = split_by(narrow, cuts, label, id_column, seed)

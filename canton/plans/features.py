@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from canton.functions import (
     commune_id, double_columns, election_label, slugify, to_double, to_long,
 )
+from canton.functions.text import sql_name
 from canton.operators.aggregates import duel_label
 from canton.operators.dimensions import require_key
 from canton.operators.shaping import column_values
@@ -24,7 +25,7 @@ def wide_features(
 
     A feature that no row of the key provides stays NULL. One shuffle.
     """
-    return df.groupBy(*keys).agg(*[F.expr(f"max({e}) AS `{name}`") for name, e in features.items()])
+    return df.groupBy(*keys).agg(*[F.expr(f"max({e}) AS {sql_name(name)}") for name, e in features.items()])
 
 
 def _text(value: str) -> str:
@@ -131,7 +132,7 @@ def assemble(targets: DataFrame, *frames: DataFrame, key: str = "id_commune") ->
     """
     joined = reduce(lambda a, b: a.join(b, key, "left"), frames, targets)
     names = sorted(set(joined.columns) - set(targets.columns))
-    return joined.select(*targets.columns, *names)
+    return joined.select(*map(sql_name, [*targets.columns, *names]))
 
 
 def commune_labels(

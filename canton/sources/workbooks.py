@@ -16,6 +16,8 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from canton.session import stored_table
+
 CELL_SCHEMA = "path string, sheet_row bigint, cells array<string>"
 _BATCH_ROWS = 10_000
 
@@ -71,8 +73,12 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
                         shared.append(_text(node))
                         node.clear()
         with book.open(_first_sheet(book)) as part:
-            number = 0
-            for _, node in ElementTree.iterparse(part):
+            number, parent = 0, None
+            for event, node in ElementTree.iterparse(part, ("start", "end")):
+                if event == "start":
+                    if _local(node.tag) == "sheetData":
+                        parent = node
+                    continue
                 if _local(node.tag) != "row":
                     continue
                 number = int(node.attrib.get("r", number + 1))
@@ -87,7 +93,8 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
                             cells[at] = _text(child)
                         elif name == "v" and child.text is not None:
                             cells[at] = shared[int(child.text)] if kind == "s" else child.text
-                node.clear()
+                if parent is not None:
+                    parent.clear()  # rows read are not kept
                 yield number, cells
 
 
@@ -128,10 +135,11 @@ def workbook_table(
 
     Without ``columns`` the names are taken from the header row, which all
     workbooks must share, and the widest row tells how many unnamed columns
-    follow. This reads the workbooks once more; pass the names when known.
+    follow. The cells are stored for that, so each workbook is decoded once.
     """
     cells = workbook_cells(files)
     if columns is None:
+        cells = stored_table(cells, "cells")
         header = F.when(F.col("sheet_row") == 1, F.col("cells"))
         first, last, width = cells.agg(
             F.min(header), F.max(header), F.max(F.size("cells"))

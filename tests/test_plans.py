@@ -13,6 +13,8 @@ from canton.plans.features import (
 from canton.plans.safety import conform_safety, wide_safety
 from canton.operators.dimensions import lookup_key, surrogate_key
 from canton.operators.quality import run_checks
+from canton.plans.experiment import run_experiment
+from canton.operators.scaling import Scaler
 from canton.session import stored_table
 from canton.plans.stars import build_safety_star, build_star
 from canton.plans.votes import (
@@ -314,3 +316,14 @@ def test_small_dimension_leaves_the_facts_where_they_are(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_odd_feature_names(spark):
+    """Dots and backticks in names come from data; a statistic may be infinite."""
+    names = ["a.b", "c`d"]
+    rows = [(i, i % 2, float(i), float(i % 3)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, y int, `a.b` double, `c``d` double")
+    run = run_experiment("odd", df, names, "y", "id")
+    assert run.predictions.where("predicted_proba IS NULL").count() == 0 and run.features == tuple(names)
+    scaler = Scaler(("a.b",), (0.0,), (float("inf"),))
+    assert {r[0] for r in scaler.transform(df).select("`a.b`").collect()} == {0.0}
