@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from canton.llm.arrays import mix, prefix_hash, slices, span_hash, utf8
-from canton.llm.graph import stored
+from canton.session import stored_table as stored
 
 LENGTH = 400
 ANCHOR = 128
-GROUP = 256  # different contexts of one key in a collection
+GROUP = 1_024  # different contexts of one key in a collection
 COLLECTION = 8_192  # contexts after which a collection ends with its key
 
 
