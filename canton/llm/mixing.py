@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from canton.llm.arrays import SLICE_BYTES, prefix_hash, slices, span_hash, utf8, words
-from canton.llm.graph import small, stored
+from canton.session import broadcast_if_small as small, stored_table as stored
 
 MARGINS = ("source", "lang", "topic")
 TEMPER = 0.7  # default targets: observed token shares to this power
