@@ -13,25 +13,27 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from canton.llm.graph import stored
+from canton.session import broadcast_if_small as small, stored_table as stored
 
 SIMILARITY = 0.8
 CELLS = 1 << 17  # word counts are summed in this many cells, whatever the corpus
 BROADCAST_ROWS = 500_000  # keys of at most some tens of bytes; more are joined by a shuffle
 
+HOT = 32  # sets with a common pair of rare words that meet their earliest first
+
 _LAST = (1 << 63) - 1
 _KEY = ["k1", "k2"]
 _PLACE = ["d", "h", "no"]
+_SPACES = "[ \\t\\n\\r\\f\\x0B]"
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A stored table, broadcast if its counted size allows it."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def _small(stored_table: DataFrame) -> DataFrame:
+    return small(stored_table, BROADCAST_ROWS)
 
 
 def _words(text: Column) -> Column:
     """The words of a text between ASCII white space, repeated ones included."""
-    return F.array_remove(F.split(F.translate(text, "\n\t\r\f\v", "     "), " "), "")
+    return F.array_remove(F.split(text, _SPACES + "+"), "")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -58,8 +60,8 @@ def frequency_classes(docs: DataFrame) -> Column:
 def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
     """One row per distinct word set of a line: its key, first place, size and prefix.
 
-    ``bits`` has a bit per word hash: sets that differ in few words differ in
-    few bits, which rejects most pairs inside the join.
+    Each word flips one of 64 ``bits`` by its hash, so two sets differ in no
+    more bits than words: that rejects most pairs inside the join.
     """
     levels = frequency_classes(docs)
 
@@ -69,11 +71,12 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
         return F.shiftleft(level, 55).bitwiseOR(F.shiftrightunsigned(value, 9))
 
     lines = docs.select("d", "h", F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    # Words are told apart by 64-bit hashes here; what passes is verified on the words.
     sets = lines.select(
-        *_PLACE,
-        F.sort_array(F.transform(F.array_distinct(_words(F.col("line"))), ordered)).alias("words"),
+        *_PLACE, F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), ordered))).alias("words")
     ).withColumn("n", F.size("words"))
     spare = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
+    one = F.lit(1).cast("long")
     sets = sets.where("n > 0").select(
         *_PLACE,
         "n",
@@ -81,7 +84,9 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
         F.xxhash64(F.lit(1), "words").alias("k2"),
         F.transform(F.slice("words", F.lit(1), spare.cast("int")), lambda x: F.hash(x)).alias("prefix"),
         F.aggregate(
-            "words", F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")))
+            "words",
+            F.lit(0).cast("long"),
+            lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))),
         ).alias("bits"),
     )
     classes = sets.groupBy(*_KEY).agg(
@@ -93,96 +98,92 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
     return classes.select(*_KEY, "first.*", "n", "prefix", "bits")
 
 
-def _passes(a: str, b: str, similarity: float, positions: bool) -> Column:
-    """Length, bit and (with ``positions``) positional filter of sets a and b."""
-    col = lambda side, name: F.col(f"{side}.{name}")
-    n_a, n_b = col(a, "n"), col(b, "n")
+def _passes(similarity: float, positions: bool) -> Column:
+    """Length, bit and (with ``positions``) positional filter of the sets a and b."""
+    n_a, n_b = F.col("a.n"), F.col("b.n")
     overlap = F.ceil((n_a + n_b) * (similarity / (1 + similarity)) - 1e-9)
-    different = F.bit_count(col(a, "bits").bitwiseXOR(col(b, "bits")))
+    different = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
     tests = [
         F.least(n_a, n_b) >= F.greatest(n_a, n_b) * similarity - 1e-9,
         different <= n_a + n_b - 2 * overlap,
     ]
     if positions:
-        tests.append(F.least(n_a - col(a, "pos"), n_b - col(b, "pos")) >= overlap)
+        tests.append(F.least(n_a - F.col("a.pos"), n_b - F.col("b.pos")) >= overlap)
     return reduce(Column.__and__, tests)
 
 
-def _earlier(a: str, b: str) -> Column:
-    return F.struct(*[F.col(f"{a}.{c}") for c in _PLACE]) < F.struct(*[F.col(f"{b}.{c}") for c in _PLACE])
-
-
-def _pair_columns() -> list[Column]:
-    return [F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in [*_KEY]]
-
-
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Keys of the sets ``b`` whose words are similar enough to those of ``a``."""
-    pairs = stored(pairs.distinct(), "pairs")
-    ends = [pairs.select(F.col(f"{s}_k1").alias("k1"), F.col(f"{s}_k2").alias("k2")) for s in "ab"]
-    keys = stored(ends[0].union(ends[1]).distinct(), "ends")
+def _beaten(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Keys of the later sets of the pairs (``a``, ``b``, by k1) whose words are similar enough."""
+    pairs = stored(pairs.select(F.col("a.k1").alias("a_k1"), F.col("b.k1").alias("b_k1")).distinct(), "pairs")
+    ends = stored(pairs.select(F.explode(F.array("a_k1", "b_k1")).alias("k1")).distinct(), "ends")
     wanted = (
         classes.select(*_KEY, *_PLACE)
-        .join(_small(keys), _KEY)
+        .join(_small(ends), "k1")
         .groupBy("d", "h")
-        .agg(F.collect_list(F.struct("no", *_KEY)).alias("lines"))
+        .agg(F.collect_list(F.struct("no", *_KEY)).alias("sets"))
     )
     lines = docs.select("d", "h", "text").join(_small(stored(wanted, "wanted")), ["d", "h"])
     # A repeated row brings its lines twice, with equal words.
     words = stored(
-        lines.select(F.split("text", "\n").alias("all"), F.explode("lines").alias("l"))
-        .select("l.k1", "l.k2", F.array_distinct(_words(F.get("all", F.col("l.no")))).alias("words"))
-        .dropDuplicates(_KEY),
+        lines.select("d", "h", F.split("text", "\n").alias("all"), F.explode("sets").alias("s"))
+        .select(
+            F.col("s.k1").alias("k1"),
+            F.struct("d", "h", "s.no").alias("place"),
+            F.struct("s.k1", "s.k2").alias("key"),
+            F.array_distinct(_words(F.get("all", F.col("s.no")))).alias("words"),
+        )
+        .dropDuplicates(["key"]),
         "words",
     )
     side = lambda s: words.select(
-        F.col("k1").alias(f"{s}_k1"), F.col("k2").alias(f"{s}_k2"), F.col("words").alias(s)
+        F.col("k1").alias(f"{s}_k1"), F.struct("place", "key").alias(f"{s}_set"), F.col("words").alias(s)
     )
-    both = pairs.join(side("a"), ["a_k1", "a_k2"]).join(side("b"), ["b_k1", "b_k2"])
+    both = pairs.join(side("a"), "a_k1").join(side("b"), "b_k1")
     shared = F.size(F.array_intersect("a", "b"))
     alike = shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9
-    return both.where(alike).select(F.col("b_k1").alias("k1"), F.col("b_k2").alias("k2")).distinct()
+    later = F.greatest("a_set", "b_set")
+    return both.where(alike).select(later["key"]["k1"].alias("k1"), later["key"]["k2"].alias("k2")).distinct()
 
 
 def first_lines(docs: DataFrame, similarity: float) -> DataFrame:
     """(d, h, no) of the lines that stay: no earlier line is similar to them.
 
-    Sets that share two of their three rarest words meet the earliest of
-    these first, one pair per set. What that removes need not be compared
-    again, so a large group of variants never yields its pairs.
+    Where many sets share two of their three rarest words, these first meet
+    the earliest of them, one pair per set. Sets which that removes need not be
+    compared with each other again, so a large group of variants never yields
+    its pairs. The rows of the prefix join are dealt out once, for both sides.
     """
     classes = stored(line_classes(docs, similarity), "lines")
-    rare = F.slice("prefix", 1, 3)
-    two = F.filter(
-        F.array(*[F.when(F.size(rare) > j, F.hash(F.get(rare, F.lit(i)), F.get(rare, F.lit(j)))) for i, j in ((0, 1), (0, 2), (1, 2))]),
-        lambda x: x.isNotNull(),
-    )
-    keyed = classes.select(*_KEY, *_PLACE, "n", "bits", F.explode(two).alias("key"))
+    two = F.array_compact(
+        F.array(*[
+            F.when(F.size("prefix") > j, F.hash(F.get("prefix", F.lit(i)), F.get("prefix", F.lit(j))))
+            for i, j in ((0, 1), (0, 2), (1, 2))
+        ])
+    )
+    counted = classes.select(F.explode(two).alias("key")).groupBy("key").count()
+    hot = stored(counted.where(F.col("count") >= HOT).select("key"), "hot")
+    keyed = classes.select("k1", *_PLACE, "n", "bits", F.explode(two).alias("key")).join(_small(hot), "key")
     heads = stored(
-        keyed.groupBy("key")
-        .agg(F.min(F.struct(*_PLACE, *_KEY, "n", "bits")).alias("one"), F.count(F.lit(1)).alias("size"))
-        .where("size > 1")
-        .select("key", "one.*"),
+        keyed.groupBy("key").agg(F.min(F.struct(*_PLACE, "k1", "n", "bits")).alias("one")).select("key", "one.*"),
         "heads",
     )
     star = keyed.alias("b").join(
-        heads.alias("a"),
-        (F.col("a.key") == F.col("b.key")) & _earlier("a", "b") & _passes("a", "b", similarity, False),
+        _small(heads).alias("a"),
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.k1") != F.col("b.k1")) & _passes(similarity, False),
     )
-    beaten = stored(_verified(docs, classes, star.select(*_pair_columns()), similarity), "beaten")
+    beaten = stored(_beaten(docs, classes, star, similarity), "beaten")
     flagged = classes.join(_small(beaten.withColumn("beaten", F.lit(True))), _KEY, "left")
     prefixes = flagged.select(
-        *_KEY, *_PLACE, "n", "bits", F.col("beaten").isNotNull().alias("beaten"),
-        F.posexplode("prefix").alias("pos", "word"),
-    )
-    meeting = prefixes.alias("b").join(
-        prefixes.alias("a"),
+        "k1", "n", "bits", F.col("beaten").isNotNull().alias("beaten"), F.posexplode("prefix").alias("pos", "word")
+    )
+    meeting = prefixes.alias("a").join(
+        prefixes.alias("b"),
         (F.col("a.word") == F.col("b.word"))
-        & ~F.col("b.beaten")
-        & _earlier("a", "b")
-        & _passes("a", "b", similarity, True),
+        & (F.col("a.k1") < F.col("b.k1"))
+        & ~(F.col("a.beaten") & F.col("b.beaten"))
+        & _passes(similarity, True),
     )
-    late = stored(_verified(docs, classes, meeting.select(*_pair_columns()), similarity), "beaten")
+    late = stored(_beaten(docs, classes, meeting, similarity), "beaten")
     kept = classes.select(*_KEY, *_PLACE)
     for gone in (beaten, late):
         kept = kept.join(_small(gone), _KEY, "left_anti")
@@ -208,16 +209,15 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, counts: bool =
     # The caller's other columns travel as one, so that none can clash.
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rows = _keyed(docs.select("doc_id", F.col("text").cast("string").alias("text"), row.alias("row")))
-    lines = F.split("text", "\n")
     none = F.array().cast("array<int>")
     stays = F.filter(
-        lines,
-        lambda line, i: F.array_contains(F.coalesce("kept", none), i) | (F.size(_words(line)) == 0),
+        "lines",
+        lambda line, i: F.array_contains(F.coalesce("kept", none), i) | ~F.rlike(line, F.lit(_SPACES.replace("[", "[^"))),
     )
     out = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.array_join("stays", "\n")}
     out = {c: out[c] for c in docs.columns}
     if counts:
-        out["n_lines"] = F.coalesce(F.size(lines), F.lit(0))
-        out["n_removed"] = F.coalesce(F.size(lines) - F.size("stays"), F.lit(0))
-    joined = rows.join(kept, ["d", "h"], "left").withColumn("stays", stays)
-    return joined.select(*[value.alias(name) for name, value in out.items()])
+        out["n_lines"] = F.coalesce(F.size("lines"), F.lit(0))
+        out["n_removed"] = F.coalesce(F.size("lines") - F.size("stays"), F.lit(0))
+    joined = rows.join(kept, ["d", "h"], "left").withColumn("lines", F.split("text", "\n"))
+    return joined.withColumn("stays", stays).select(*[value.alias(name) for name, value in out.items()])
