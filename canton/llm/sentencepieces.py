@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame, functions as F
 from canton.llm.arrays import SLICE_BYTES, slices
 
 SPACE = "▁"
-CACHE_WORDS = 300_000  # words a worker remembers
+CACHE_WORDS = 200_000  # words a worker remembers
+INDEX_CHARS = 250_000  # characters indexed at once; a longer word stands alone
 CACHE_PAIRS = 2_000_000  # decisions on neighbours a worker remembers
-BATCH_BYTES = 4 * SLICE_BYTES
+BATCH_BYTES = 2 * SLICE_BYTES
 
 
 class Pieces:
@@ -202,6 +203,19 @@ class Pieces:
             out.append(np.concatenate(pieces).tobytes())
         return out
 
+    @staticmethod
+    def _parts(words: list[str]) -> Iterator[list[str]]:
+        """Lists of words of at most INDEX_CHARS characters, one word at least."""
+        held, size = [], 0
+        for word in words:
+            if held and size + len(word) > INDEX_CHARS:
+                yield held
+                held, size = [], 0
+            held.append(word)
+            size += len(word)
+        if held:
+            yield held
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text: a space before it, spaces as the space mark."""
         split = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
@@ -209,8 +223,8 @@ class Pieces:
         if len(self.cache) + len(missing) > CACHE_WORDS:
             self.cache.clear()
             missing = list({w for words in split for w in words})
-        if missing:
-            self.cache.update(zip(missing, self.encode_words(missing)))
+        for part in self._parts(missing):
+            self.cache.update(zip(part, self.encode_words(part)))
         get = self.cache.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
