@@ -19,6 +19,7 @@ SIMILARITY = 0.8
 CELLS = 1 << 17  # word counts are summed in this many cells, whatever the corpus
 BROADCAST_ROWS = 500_000  # keys of at most some tens of bytes; more are joined by a shuffle
 
+LONG = 96  # words from which a set has the larger sketch
 HOT = 32  # sets with a common pair of rare words that meet their earliest first
 
 _LAST = (1 << 63) - 1
@@ -61,7 +62,8 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
     """One row per distinct word set of a line: its key, first place, size and prefix.
 
     Each word flips one of 64 ``bits`` by its hash, so two sets differ in no
-    more bits than words: that rejects most pairs inside the join.
+    more bits than words: that rejects most pairs inside the join. Sets of more
+    than LONG words have 128: ``far`` is the part of the words in the upper half.
     """
     levels = frequency_classes(docs)
 
@@ -76,33 +78,44 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
         *_PLACE, F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), ordered))).alias("words")
     ).withColumn("n", F.size("words"))
     spare = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
-    one = F.lit(1).cast("long")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def flip(x: Column) -> Column:
+        return F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))
+
     sets = sets.where("n > 0").select(
         *_PLACE,
         "n",
         F.xxhash64("words").alias("k1"),
         F.xxhash64(F.lit(1), "words").alias("k2"),
         F.transform(F.slice("words", F.lit(1), spare.cast("int")), lambda x: F.hash(x)).alias("prefix"),
-        F.aggregate(
-            "words",
-            F.lit(0).cast("long"),
-            lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))),
-        ).alias("bits"),
+        F.aggregate("words", zero, lambda a, x: a.bitwiseXOR(flip(x))).alias("bits"),
+        F.when(
+            F.col("n") > LONG,
+            F.aggregate(
+                "words", zero, lambda a, x: F.when(x.bitwiseAND(F.lit(64)) == 0, a).otherwise(a.bitwiseXOR(flip(x)))
+            ),
+        ).otherwise(zero).alias("far"),
     )
     classes = sets.groupBy(*_KEY).agg(
         F.min(F.struct(*_PLACE)).alias("first"),
         F.any_value("n").alias("n"),
         F.any_value("prefix").alias("prefix"),
         F.any_value("bits").alias("bits"),
+        F.any_value("far").alias("far"),
     )
-    return classes.select(*_KEY, "first.*", "n", "prefix", "bits")
+    return classes.select(*_KEY, "first.*", "n", "prefix", "bits", "far")
 
 
 def _passes(similarity: float, positions: bool) -> Column:
     """Length, bit and (with ``positions``) positional filter of the sets a and b."""
     n_a, n_b = F.col("a.n"), F.col("b.n")
     overlap = F.ceil((n_a + n_b) * (similarity / (1 + similarity)) - 1e-9)
-    different = F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
+    bits = F.col("a.bits").bitwiseXOR(F.col("b.bits"))
+    far = F.col("a.far").bitwiseXOR(F.col("b.far"))
+    different = F.when(
+        F.least(n_a, n_b) > LONG, F.bit_count(bits.bitwiseXOR(far)) + F.bit_count(far)
+    ).otherwise(F.bit_count(bits))
     tests = [
         F.least(n_a, n_b) >= F.greatest(n_a, n_b) * similarity - 1e-9,
         different <= n_a + n_b - 2 * overlap,
@@ -162,9 +175,9 @@ def first_lines(docs: DataFrame, similarity: float) -> DataFrame:
     )
     counted = classes.select(F.explode(two).alias("key")).groupBy("key").count()
     hot = stored(counted.where(F.col("count") >= HOT).select("key"), "hot")
-    keyed = classes.select("k1", *_PLACE, "n", "bits", F.explode(two).alias("key")).join(_small(hot), "key")
+    keyed = classes.select("k1", *_PLACE, "n", "bits", "far", F.explode(two).alias("key")).join(_small(hot), "key")
     heads = stored(
-        keyed.groupBy("key").agg(F.min(F.struct(*_PLACE, "k1", "n", "bits")).alias("one")).select("key", "one.*"),
+        keyed.groupBy("key").agg(F.min(F.struct(*_PLACE, "k1", "n", "bits", "far")).alias("one")).select("key", "one.*"),
         "heads",
     )
     star = keyed.alias("b").join(
@@ -174,7 +187,7 @@ def first_lines(docs: DataFrame, similarity: float) -> DataFrame:
     beaten = stored(_beaten(docs, classes, star, similarity), "beaten")
     flagged = classes.join(_small(beaten.withColumn("beaten", F.lit(True))), _KEY, "left")
     prefixes = flagged.select(
-        "k1", "n", "bits", F.col("beaten").isNotNull().alias("beaten"), F.posexplode("prefix").alias("pos", "word")
+        "k1", "n", "bits", "far", F.col("beaten").isNotNull().alias("beaten"), F.posexplode("prefix").alias("pos", "word")
     )
     meeting = prefixes.alias("a").join(
         prefixes.alias("b"),
