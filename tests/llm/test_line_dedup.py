@@ -48,6 +48,13 @@ def corpus(seed):
     variants = [f"v{k}" for k in range(50)]
     for k in range(80):
         rows.append((1000 + k, " ".join(v if j != k % 50 else f"x{k}" for j, v in enumerate(variants))))
+    long = [f"l{k}" for k in range(150)]
+    for k in range(24):  # around the similarity, with the larger sketch and beside shorter sets
+        changed = set(rng.sample(range(150), (1, 5, 15, 17, 30)[k % 5]))
+        words_ = [w if j not in changed else f"y{k}-{j}" for j, w in enumerate(long)]
+        rows.append((1500 + k, " ".join(words_[: 150 - 60 * (k % 7 == 6)])))
+    rows.append((1600, " ".join(long[:95])))
+    rows.append((1601, " ".join(long[:100])))
     rows += [(2000, ""), (2001, None), (2002, "\n\n  \n"), (2003, "alone"), (2004, "alone\n\nalone again"), (2005, "z " * 60_000)]
     return rows
 
