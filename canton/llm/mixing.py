@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from canton.llm.arrays import SLICE_BYTES, prefix_hash, slices, span_hash, utf8, words
+from canton.llm.arrays import prefix_hash, slices, span_hash, utf8, words
 from canton.session import broadcast_if_small as small, stored_table as stored
 
 MARGINS = ("source", "lang", "topic")
@@ -27,20 +27,42 @@ PAIRS = 100_000  # combinations of language and topic: both are closed sets
 CELL_ROWS = 200_000  # cells that are broadcast at most
 
 TOPICS = 8
-SAMPLE_DOCS = 2_048  # documents the topics are fitted on
-SAMPLE_CHARS = 20_000  # of each, in fitting only
+SEEDS = 256  # texts that the centres may start from; all texts move them
+ROUNDS = 30  # of k-means at most
+LANGS = 1_024  # that a task sums at once
 _DIMENSIONS = 256
+#: Coordinates are summed as integers, so that no sum hangs on its order.
+_SCALE = float(1 << 28)
 
 
 def _bags(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Log word counts of each text in hashed dimensions, and its number of words."""
+    """Word counts of each text in hashed dimensions, and its number of words."""
     raw, offsets = utf8(column)
     starts, ends, first = words(raw, offsets)
     count = np.diff(first)
     text = np.repeat(np.arange(len(count)), count)
     bucket = (span_hash(prefix_hash(raw), starts, ends) % np.uint64(_DIMENSIONS)).astype(np.int64)
     bags = np.bincount(text * _DIMENSIONS + bucket, minlength=len(count) * _DIMENSIONS)
-    return np.log1p(bags.reshape(len(count), _DIMENSIONS)), count
+    return bags.reshape(len(count), _DIMENSIONS), count
+
+
+def _packed(bags: np.ndarray) -> pa.Array:
+    """Each bag as bytes: one per count, or four if one count needs more."""
+    wide = bags.max(axis=1, initial=0) > 255
+    narrow = bags.astype(np.uint8)
+    return pa.array(
+        [(bags[i].astype(np.uint32) if w else narrow[i]).tobytes() for i, w in enumerate(wide)], pa.binary()
+    )
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    """Directions of the log counts of packed bags."""
+    held = column.to_pylist()
+    wide = np.array([len(x) > _DIMENSIONS for x in held], bool)
+    bags = np.zeros((len(held), _DIMENSIONS))
+    for kind, rows in ((np.uint8, np.flatnonzero(~wide)), (np.uint32, np.flatnonzero(wide))):
+        bags[rows] = np.frombuffer(b"".join([held[i] for i in rows]), kind).reshape(len(rows), _DIMENSIONS)
+    return _unit(np.log1p(bags))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -48,77 +70,36 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 class Topics:
-    """Spherical k-means over word-count directions, each centred on its language.
+    """Centres of spherical k-means over word-count directions, each centred on its language.
 
     Without that, topics would repeat the languages and the two margins could
     not be held together.
     """
 
-    def __init__(self, texts: list[str], langs: list[str | None], topics: int = TOPICS):
-        parts, held, size = [], [], 0
-        for t in [*texts, None]:
-            if t is not None:
-                held.append(t)
-                size += len(t)
-            if held and (t is None or size >= SLICE_BYTES):
-                parts.append(_bags(pa.array(held, pa.large_string()))[0])
-                held, size = [], 0
-        bags = _unit(np.concatenate(parts) if parts else np.zeros((1, _DIMENSIONS)))
-        self.mean = bags.mean(axis=0)
-        of = np.array([x or "" for x in langs] or [""], object)
-        self.means = {x: bags[of == x].mean(axis=0) for x in sorted(set(of))}
-        points = self._directions(bags, of)
-        # Each centre starts at the point farthest from those before it.
-        centres = [points[0]]
-        for _ in range(1, min(topics, len(points))):
-            near = np.max(points @ np.array(centres).T, axis=1)
-            centres.append(points[int(near.argmin())])
-        self.centres = np.array(centres)
-        for _ in range(30):
-            nearest = (points @ self.centres.T).argmax(axis=1)
-            new = _unit(np.array([
-                points[nearest == k].sum(axis=0) if (nearest == k).any() else self.centres[k]
-                for k in range(len(self.centres))
-            ]))
-            if np.allclose(new, self.centres, atol=1e-9):
-                break
-            self.centres = new
-
-    def _directions(self, bags: np.ndarray, langs) -> np.ndarray:
-        return _unit(bags - np.array([self.means.get(x, self.mean) for x in langs]).reshape(len(bags), -1))
-
-    def of(self, column: pa.Array, langs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Topic and number of words of each text."""
-        bags, count = _bags(column)
-        points = self._directions(_unit(bags), [x or "" for x in langs.to_pylist()])
-        # Rounded, so that a tie does not hang on the batch a text came in.
-        return np.round(points @ self.centres.T, 9).argmax(axis=1), count
+    def __init__(self, means: dict[str | None, np.ndarray], centres: np.ndarray):
+        self.means, self.centres = means, centres
 
+    def directions(self, column: pa.Array, langs: pa.Array) -> np.ndarray:
+        rows = _unpacked(column)
+        kinds = langs.dictionary_encode("encode")
+        means = [self.means.get(x, np.zeros(_DIMENSIONS)) for x in kinds.dictionary.to_pylist()]
+        return _unit(rows - np.array(means).reshape(-1, _DIMENSIONS)[kinds.indices.to_numpy()])
 
-def fit_topics(docs: DataFrame, topics: int = TOPICS) -> Topics:
-    """Topics of at most SAMPLE_DOCS texts, those of least hash."""
-    sample = (
-        docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-        .where(F.length("text") > 0)
-        .select(F.substring("text", 1, SAMPLE_CHARS).alias("text"), "lang")
-        .orderBy(F.xxhash64("text"), "text", "lang")
-        .limit(SAMPLE_DOCS)
-    )
-    rows = sample.collect()
-    return Topics([r["text"] for r in rows], [r["lang"] for r in rows], topics)
+    def nearest(self, points: np.ndarray) -> np.ndarray:
+        # Rounded, so that a tie does not hang on the batch a text came in.
+        return np.round(points @ self.centres.T, 9).argmax(axis=1)
 
 
-def with_topics(docs: DataFrame, model: Topics) -> DataFrame:
-    """doc_id, text hash, source, lang, topic and n_tokens (words) of each document."""
-    known = docs.sparkSession.sparkContext.broadcast(model)
+def bagged(docs: DataFrame) -> DataFrame:
+    """doc_id, text hash, source, lang, n_tokens (words) and packed word counts of each whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            topic, count = known.value.of(part.column("text"), part.column("lang"))
+            bags, count = _bags(part.column("text"))
             kept = [part.column(n) for n in ("doc_id", "mark", "source", "lang")]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(topic.astype(np.int32)), pa.array(count.astype(np.int64))],
-                ["doc_id", "mark", "source", "lang", "topic", "n_tokens"],
+                [*kept, pa.array(count.astype(np.int64)), _packed(bags)],
+                ["doc_id", "mark", "source", "lang", "n_tokens", "bag"],
             )
 
     rows = docs.select(
@@ -126,6 +107,141 @@ def with_topics(docs: DataFrame, model: Topics) -> DataFrame:
         F.xxhash64("text").alias("mark"),
         *[F.col(c).cast("string").alias(c) for c in ("source", "lang", "text")],
     )
+    return rows.mapInArrow(run, "doc_id long, mark long, source string, lang string, n_tokens long, bag binary")
+
+
+def _sums(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, the sums of their rows in units of 1 / _SCALE, and their numbers of rows."""
+    order = np.argsort(keys, kind="stable")
+    known, first, times = np.unique(keys[order], return_index=True, return_counts=True)
+    whole = np.round(rows[order] * _SCALE).astype(np.int64)
+    return known, np.add.reduceat(whole, first, axis=0), times
+
+
+def _gathered(rows: DataFrame, key: str, kind: str, parts) -> dict:
+    """{key: (sum, count)} over the partial sums that ``parts`` makes of each batch of rows.
+
+    A task adds up its own; one group per key adds up the tasks.
+    """
+
+    def told(held: dict) -> pa.RecordBatch:
+        sums = pa.array([x.tobytes() for x, _ in held.values()], pa.binary())
+        type_ = pa.string() if kind == "string" else pa.int32()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(held), type_), sums, pa.array([n for _, n in held.values()], pa.int64())], [key, "sums", "n"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict = {}
+        for batch in batches:
+            for name, total, n in parts(batch):
+                have, times = held.get(name, (0, 0))
+                held[name] = (have + total, times + n)
+            if len(held) > LANGS:
+                yield told(held)
+                held = {}
+        if held:
+            yield told(held)
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.zeros(_DIMENSIONS, np.int64)
+        for x in group.column("sums").to_pylist():
+            total += np.frombuffer(x, np.int64)
+        n = int(group.column("n").to_numpy().sum())
+        return pa.table([group.column(key).slice(0, 1), pa.array([total.tobytes()]), pa.array([n])], [key, "sums", "n"])
+
+    schema = f"{key} {kind}, sums binary, n long"
+    found = rows.mapInArrow(run, schema).groupBy(key).applyInArrow(add, schema).collect()
+    return {r[key]: (np.frombuffer(bytes(r["sums"]), np.int64) / _SCALE, r["n"]) for r in found}
+
+
+def _seeds(rows: DataFrame) -> tuple[pa.Array, pa.Array]:
+    """Bags and languages of at most SEEDS distinct texts, those of least hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if held is None else [held, batch])
+            # Of equal texts the one of least language.
+            table = table.sort_by([("mark", "ascending"), ("lang", "ascending")])
+            _, first = np.unique(table.column("mark").to_numpy(), return_index=True)
+            held = table.take(pa.array(first[:SEEDS])).combine_chunks().to_batches()
+            held = held[0] if held else None
+        if held is not None:
+            yield held
+
+    least = (
+        rows.mapInArrow(run, "mark long, lang string, bag binary")
+        .groupBy("mark")
+        .agg(F.min(F.struct(F.col("lang").isNull().alias("none"), "lang", "bag")).alias("row"))
+        .orderBy("mark")
+        .limit(SEEDS)
+        .select("row.bag", "row.lang")
+        .collect()
+    )
+    return pa.array([bytes(r["bag"]) for r in least], pa.binary()), pa.array([r["lang"] for r in least], pa.string())
+
+
+def fit_topics(rows: DataFrame, topics: int = TOPICS) -> Topics:
+    """Topics of all texts of a stored ``bagged`` table; texts without words have no say.
+
+    Language means and centres are sums over every row, added up in the tasks;
+    only the means, the centres and the seeds reach the driver.
+    """
+    spark = rows.sparkSession
+    rows = rows.where("n_tokens > 0").select("mark", "lang", "bag")
+
+    def by_language(batch: pa.RecordBatch) -> Iterator[tuple]:
+        kinds = batch.column("lang").dictionary_encode("encode")
+        names = kinds.dictionary.to_pylist()
+        if batch.num_rows:
+            for k, total, n in zip(*_sums(kinds.indices.to_numpy(), _unpacked(batch.column("bag")))):
+                yield names[k], total, int(n)
+
+    means = {x: total / n for x, (total, n) in _gathered(rows, "lang", "string", by_language).items()}
+    model = Topics(means, np.zeros((1, _DIMENSIONS)))
+    bags, langs = _seeds(rows)
+    if not len(bags):
+        return model
+    points = model.directions(bags, langs)
+    # Each centre starts at the seed farthest from those before it.
+    centres = [points[0]]
+    for _ in range(1, min(topics, len(points))):
+        near = np.max(points @ np.array(centres).T, axis=1)
+        centres.append(points[int(np.round(near, 9).argmin())])
+    model.centres = np.array(centres)
+    for _ in range(ROUNDS):
+        known = spark.sparkContext.broadcast(model)
+
+        def by_centre(batch: pa.RecordBatch) -> Iterator[tuple]:
+            points = known.value.directions(batch.column("bag"), batch.column("lang"))
+            if len(points):
+                for k, total, n in zip(*_sums(known.value.nearest(points), points)):
+                    yield int(k), total, int(n)
+
+        found = _gathered(rows, "centre", "int", by_centre)
+        known.destroy()
+        new = np.array([_unit(found[k][0][None])[0] if k in found else c for k, c in enumerate(model.centres)])
+        done = np.allclose(new, model.centres, atol=1e-9)
+        model = Topics(means, new)
+        if done:
+            break
+    return model
+
+
+def with_topics(rows: DataFrame, model: Topics) -> DataFrame:
+    """doc_id, text hash, source, lang, topic and n_tokens of each row of a ``bagged`` table."""
+    known = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            topic = known.value.nearest(known.value.directions(part.column("bag"), part.column("lang")))
+            kept = [part.column(n) for n in ("doc_id", "mark", "source", "lang")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(topic.astype(np.int32)), part.column("n_tokens")],
+                ["doc_id", "mark", "source", "lang", "topic", "n_tokens"],
+            )
+
     return rows.mapInArrow(run, "doc_id long, mark long, source string, lang string, topic int, n_tokens long")
 
 
@@ -274,7 +390,8 @@ def sample_mix(
     their own; NULL text is empty. Columns besides doc_id, text, source and
     lang are ignored.
     """
-    rows = stored(with_topics(docs, fit_topics(docs, topics)), "topics")
+    bags = stored(bagged(docs), "bags")
+    rows = stored(with_topics(bags, fit_topics(bags, topics)), "topics")
     keyed = rows.select("doc_id", "mark", "n_tokens", *[_value(m).alias(m) for m in MARGINS])
     cells = stored(keyed.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("n_tokens")), "cells")
     if targets is None:

@@ -91,3 +91,46 @@ def test_edges(spark):
     goal = {"lang": spark.createDataFrame([("en", 3.0), ("de", 1.0)], "value string, share double")}
     rows = mixing.sample_mix(docs, goal).collect()
     assert {r.probability for r in rows if r.doc_id == 1} == {0.0}
+
+
+def subjects(spark, rows):
+    """The topics of the texts that begin with each word, as sample_mix gives them."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    topic = {r.doc_id: r.topic for r in mixing.sample_mix(docs.repartition(5)).collect()}
+    seen = {}
+    for i, text, _, _ in rows:
+        seen.setdefault(text.split()[-1], set()).add(topic[i])
+    return seen
+
+
+def test_topics_are_learned_beside_a_text_of_many_copies(spark):
+    sea, bread = "harbour sail mast deck anchor tide", "oven flour dough crust yeast loaf"
+    texts = [f"{sea} n{i} ship" for i in range(30)] + [f"{bread} n{i} bake" for i in range(30)]
+    hashed = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("text", "xxhash64(text) AS h")
+    copied = min((r.h, r.text) for r in hashed.collect())[1]
+    rows = [(i, t, "s", "en") for i, t in enumerate(texts + [copied] * 2_100)]
+    seen = subjects(spark, rows)
+    assert not seen["ship"] & seen["bake"]
+
+
+def test_topics_are_learned_from_whole_texts(spark):
+    start = "same " * 5_000
+    tails = ["harbour sail mast deck tide ship " * 2_000, "oven flour dough crust loaf bake " * 2_000]
+    rows = [(i, f"{start}n{i} {tails[i % 2]}", "s", "en") for i in range(20)]
+    seen = subjects(spark, rows)
+    assert not seen["ship"] & seen["bake"]
+
+
+def test_language_means_are_those_of_all_rows(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, 12)), "s", "en") for i in range(2_500)]
+    rows += [(9_000 + i, f"rare words {i} " + "a " * 300, "s", "xx") for i in range(3)] + [(9_100, "none", "s", None), (9_101, " ", "s", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    models = [mixing.fit_topics(mixing.stored(mixing.bagged(docs.repartition(n)), "bags")) for n in (1, 6)]
+    for lang in ("en", "xx", None):
+        texts = [t for _, t, _, x in rows if x == lang and t.strip()]
+        bags = np.log1p(mixing._bags(mixing.pa.array(texts))[0])
+        want = (bags / np.linalg.norm(bags, axis=1, keepdims=True)).mean(axis=0)
+        assert np.allclose(models[0].means[lang], want, atol=1e-7)
+        assert (models[0].means[lang] == models[1].means[lang]).all()
+    assert np.allclose(models[0].centres, models[1].centres, atol=1e-7)
