@@ -47,8 +47,9 @@ def spot_sets(column: pa.Array) -> list[np.ndarray]:
     """Ascending distinct 32-bit signatures of each text.
 
     The start of a text counts as an anchor too, so that every text with a
-    content word has a signature; a text without any has the one signature of
-    its bytes, and the empty text has none.
+    content word has a signature. In a text without anchors (a table, a list,
+    another language) every content word begins a chain. A text without
+    content words has the one signature of its bytes, and the empty text none.
     """
     raw, offsets = utf8(column)
     texts = len(offsets) - 1
@@ -70,11 +71,14 @@ def spot_sets(column: pa.Array) -> list[np.ndarray]:
     anchor = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
     content = np.flatnonzero(~anchor)
     content_text = text[content]
-    # Spots: the starts of texts, then the anchors.
+    # Spots: the starts of texts, the anchors, then the words of texts without anchors.
     spots = np.flatnonzero(anchor)
-    owner = np.concatenate([np.arange(texts), text[spots]])
-    value = np.concatenate([np.zeros(texts, np.uint64), hashes[spots]])
-    after = np.concatenate([np.searchsorted(text, np.arange(texts)), spots])
+    bare = np.ones(texts, bool)
+    bare[text[spots]] = False
+    alone = content[bare[content_text]]
+    owner = np.concatenate([np.arange(texts), text[spots], text[alone]])
+    value = np.concatenate([np.zeros(texts, np.uint64), hashes[spots], np.zeros(len(alone), np.uint64)])
+    after = np.concatenate([np.searchsorted(text, np.arange(texts)), spots, alone])
     chain = np.searchsorted(content, after)
     found = np.zeros(len(owner), bool)
     for k in range(CHAIN):

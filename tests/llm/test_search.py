@@ -107,6 +107,17 @@ def test_signatures_follow_anchors():
     assert base & one("elsewhere the OLD, harbour") and one("") == set() and len(one("the of")) == 1
 
 
+def test_texts_without_anchors_use_all_words():
+    column = spotsigs.pa.array([
+        "alpha beta gamma delta epsilon zeta", "alpha beta one two three four", "omega beta gamma delta epsilon zeta",
+        "the sea", "alpha", "alpha beta", "",
+    ])
+    sets = spotsigs.spot_sets(column)
+    assert [len(s) for s in sets] == [6, 6, 6, 2, 1, 2, 0]
+    assert spotsigs.likeness(sets[0], sets[1]) == 1 / 11 and spotsigs.likeness(sets[0], sets[2]) == 5 / 7
+    assert all((spotsigs.spot_sets(column[i : i + 1])[0] == s).all() for i, s in enumerate(sets))
+
+
 def test_near_pairs_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = []
