@@ -31,7 +31,6 @@ THRESHOLD = 0.3
 #: The bounded sample of labelled rows that the model is fitted on.
 SAMPLE_TOXIC = 3_000
 SAMPLE_ORDINARY = 6_000
-SAMPLE_CHARS = 20_000  # of a text, in fitting only
 SAMPLE_WINDOWS = 40_000  # that the ordinary dictionary is trained on, about
 
 _GRAM = 5
@@ -186,6 +185,7 @@ class Model:
     toxic: bytes
     weights: np.ndarray
     width: int = WINDOW
+    usable: bool = True  # calibrated on both classes
 
     def scorer(self) -> Scorer:
         return Scorer(self)
@@ -239,7 +239,8 @@ def fit(texts: list[str], toxic: list[int], width: int = WINDOW) -> Model:
     """A model of labelled texts: two in three train the dictionaries, the rest calibrate.
 
     Without any label the score of texts with words is 1/2; with one class only
-    it follows that class.
+    it follows that class. Such a model is not ``usable``: it tells no text
+    from another.
     """
     flags = np.array(toxic, bool)
     turn = np.zeros(len(flags), np.int64)
@@ -261,6 +262,7 @@ def fit(texts: list[str], toxic: list[int], width: int = WINDOW) -> Model:
         scorer = model.scorer()
         rest = [scorer.features(c) for c in _chunks([t for t, s in zip(texts, shown) if not s])]
         model.weights = _calibrated(np.concatenate(rest), flags[~shown].astype(float))
+    model.usable = len(set(flags[~shown].tolist())) == 2
     return model
 
 
@@ -272,7 +274,8 @@ def _fold(doc_id: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
     """At most SAMPLE_TOXIC and SAMPLE_ORDINARY labelled rows outside the held-out fold.
 
-    The rows are those of least hash of their ids, and repeated texts count once.
+    The rows are those of least hash of their ids, each with its whole text, and
+    repeated texts count once.
     """
     marks = (
         labels.select("doc_id", "toxic")
@@ -284,7 +287,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     for value, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY)):
         ids = marks.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         rows = (
-            docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+            docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .where(F.col("text").isNotNull())
             .join(F.broadcast(ids.select(F.col("doc_id").cast("long").alias("doc_id"))), "doc_id")  # at most ``most`` ids
         )
@@ -322,7 +325,12 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text scores below the threshold, in one pass."""
+    """The rows of ``docs`` whose text scores below the threshold, in one pass.
+
+    All rows stay if the labels were too few for the model to be ``usable``.
+    """
+    if not model.usable:
+        return docs
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

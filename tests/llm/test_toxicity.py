@@ -84,6 +84,21 @@ def test_missing_labels(spark, rows):
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
 
 
+def test_labelled_texts_are_whole(spark):
+    text = "word " * 10_000 + "vilescum"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.labelled_sample(docs, labels) == ([text], [1])
+
+
+def test_all_stay_without_usable_labels(spark):
+    rows = [(i, f"some words {i}") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = [t for _, t in rows]
+    for model in (toxicity.fit([], []), toxicity.fit(texts[:4], [0, 1, 0, 1]), toxicity.fit(texts, [1] * 9)):
+        assert toxicity.keep_clean(docs, model).count() == 9
+
+
 def test_windows_cover_all_words():
     texts = ["One, two; three!four", "", None, "--", "é" * 5 + " a b c d e f g h"]
     text, starts, ends, owner, n = toxicity.windows(pa.array(texts), 3)
