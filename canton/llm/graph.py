@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from canton.session import stored_table as stored
@@ -39,3 +40,17 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped
         if not changed:
             return labels
+
+
+def local_roots(nodes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least node of each node's component under the links a[i] - b[i] (positions)."""
+    root = nodes.copy()
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        if (new == root).all():
+            break
+        root = new
+    return root

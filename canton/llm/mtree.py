@@ -28,13 +28,14 @@ BLOCK = 128  # queries of a block
 _EXACT = 2.0**52  # sums below stay exact in doubles
 
 
-def integer_vectors(df: DataFrame, id_column: str, vector: str, scale: int) -> DataFrame:
-    """vec_id and floor(scale * x) of each vector that takes part."""
+def integer_vectors(df: DataFrame, id_column: str, vector: str, scale: int, *others: str) -> DataFrame:
+    """vec_id, floor(scale * x) of each vector that takes part, and the ``others``."""
     x = F.col(vector)
     bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     return df.where(x.isNotNull() & ~bad & F.col(id_column).isNotNull()).select(
         F.col(id_column).cast("long").alias("vec_id"),
         F.transform(x, lambda e: F.floor(F.lit(float(scale)) * e.cast("double"))).alias("v"),
+        *others,
     )
 
 

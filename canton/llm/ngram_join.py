@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from canton.llm.arrays import mix, shingle_sets, slices
-from canton.llm.graph import components
+from canton.llm.graph import components, local_roots
 from canton.session import stored_table as stored
 
 WORDS = 5
@@ -124,20 +124,6 @@ def shared_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _local_roots(nodes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least node of each node's component under the links a[i] - b[i] (positions)."""
-    root = nodes.copy()
-    while len(a):
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        if (new == root).all():
-            break
-        root = new
-    return root
-
-
 _MET = "rep long, links long, root long"
 
 
@@ -221,7 +207,7 @@ def near_duplicates(
             linked &= block[:, None] != block[None, :]  # pairs of one block meet elsewhere
         links = (linked * copy[None, :]).sum(axis=1)
         a, b = np.nonzero(np.triu(linked, 1))
-        root = _local_roots(rep, a, b)
+        root = local_roots(rep, a, b)
         kept = links > 0
         return pa.table(
             {"rep": pa.array(rep[kept]), "links": pa.array(links[kept].astype(np.int64)), "root": pa.array(root[kept])}
