@@ -11,13 +11,17 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canton.functions import above_threshold, sigmoid, weighted_sum
 from canton.functions.text import sql_name
 from canton.operators.metrics import METRICS, classification_metrics, majority_class
 from canton.operators.scaling import Scaler
+from canton.operators.sparse import (
+    feature_dictionary, ml_vectors, scaled_entries, sparse_scores, sparse_vectors, with_vectors,
+)
 from canton.operators.split import class_cuts, split_by
+from canton.session import durable, stored_table
 from canton.sources.literal import literal_table
 from canton.sources.sinks import export_csv, export_json
 
@@ -120,7 +124,14 @@ def fit_logit(
             F.col(sql_name(label)).cast("double").alias("label__y"),
         )
     )
-    fitted = LogisticRegression(
+    fitted = _regression(l2).fit(rows.select("features__v", "label__y"))
+    return LogitModel(
+        tuple(features), tuple(map(float, fitted.coefficients)), float(fitted.intercept)
+    )
+
+
+def _regression(l2: float) -> LogisticRegression:
+    return LogisticRegression(
         featuresCol="features__v",
         labelCol="label__y",
         regParam=l2,
@@ -129,9 +140,6 @@ def fit_logit(
         family="binomial",
         maxIter=500,
         tol=1e-12,
-    ).fit(rows.select("features__v", "label__y"))
-    return LogitModel(
-        tuple(features), tuple(map(float, fitted.coefficients)), float(fitted.intercept)
     )
 
 
@@ -145,6 +153,10 @@ class Experiment:
     importance: DataFrame
     metrics: DataFrame
 
+    @property
+    def features_count(self) -> int:
+        return len(self.features)
+
     def save(self, path: str) -> None:
         base = f"{path}/{self.name}"
         export_csv(self.dataset, f"{base}/model_dataset", sep=",")
@@ -195,7 +207,105 @@ def run_experiment(
     )
 
 
-def metrics_document(experiment: Experiment) -> DataFrame:
+@dataclass(frozen=True)
+class VectorExperiment:
+    """An experiment on sparse vectors; its coefficients are a table (feature, index, coefficient)."""
+
+    name: str
+    features_count: int
+    coefficients: DataFrame
+    bias: float
+    dataset: DataFrame
+    predictions: DataFrame
+    metrics: DataFrame
+
+    @property
+    def importance(self) -> DataFrame:
+        size = F.abs("coefficient").alias("abs_coefficient")
+        return self.coefficients.select("feature", "coefficient", size).orderBy(F.desc("abs_coefficient"), "feature")
+
+    def save(self, path: str) -> None:
+        base = f"{path}/{self.name}"
+        export_csv(self.dataset, f"{base}/model_dataset", sep=",")
+        export_csv(self.predictions, f"{base}/test_predictions", sep=",")
+        export_csv(self.importance, f"{base}/feature_importance", sep=",")
+        export_json(metrics_document(self), f"{base}/metrics")
+
+
+def vector_ablation(
+    labels: DataFrame,
+    rows: DataFrame,
+    feature_sets: Mapping[str, Column | None],
+    label: str,
+    id_column: str,
+    test: float = 0.2,
+    seed: int = 42,
+    l2: float = 0.001,
+) -> list[VectorExperiment]:
+    """Experiments on long feature rows (id, feature, value): no column per feature.
+
+    ``labels`` has one row per id; a set is a condition on ``feature``, or
+    ``None`` for all. Split, statistics and scaling are made once; a set only
+    leaves entries out. An id without rows has the mean of every feature. Only
+    the fitted coefficients pass through the driver, as in any MLlib model.
+    """
+    spark = labels.sparkSession
+    labels = stored_table(labels.select(id_column, label), "labels")
+    cuts = class_cuts(labels, label, id_column, test, seed)
+    train, held_out = split_by(labels, cuts, label, id_column, seed)
+    parts = stored_table(
+        train.withColumn("train", F.lit(True)).unionByName(held_out.withColumn("train", F.lit(False))), "parts"
+    )
+    train, held_out = parts.where("train").drop("train"), parts.where("NOT train").drop("train")
+    rows = stored_table(
+        rows.select(id_column, "feature", F.col("value").cast("double").alias("value")).join(
+            parts.select(id_column, "train"), id_column, "left"
+        ),
+        "feature-rows",
+    )
+    dictionary = feature_dictionary(rows, F.col("train"))
+    size = dictionary.count()
+    common = majority_class(train, label)
+    out = []
+    for name, keep in feature_sets.items():
+        chosen = dictionary if keep is None else dictionary.where(keep)
+        entries = stored_table(
+            scaled_entries(rows.where("train IS NOT NULL"), chosen, id_column, "train"), "entries"
+        )
+        vectors = sparse_vectors(entries.where("train"), id_column)
+        fit_on = with_vectors(train.withColumn("label__y", F.col(label).cast("double")), vectors, id_column)
+        fitted = _regression(l2).fit(ml_vectors(fit_on, size, "label__y", name="features__v"))
+        weights = literal_table(
+            spark, ["index", "weight"], [(i, float(w)) for i, w in enumerate(fitted.coefficients)] or [(-1, 0.0)]
+        ).select(F.col("index").cast("int").alias("index"), "weight")
+        coefficients = durable(
+            chosen.join(weights, "index").select("feature", "index", F.col("weight").alias("coefficient"))
+        )
+        scores = sparse_scores(entries.where("NOT train"), weights, id_column, "score")
+        chance = sigmoid(F.coalesce("score", F.lit(0.0)) + F.lit(float(fitted.intercept)))
+        predictions = durable(
+            held_out.join(scores, id_column, "left").withColumn("predicted_proba", chance).select(
+                id_column, label, above_threshold(F.col("predicted_proba")).alias("predicted_class"), "predicted_proba"
+            )
+        )
+        scored = [
+            predictions.select(F.lit("model").alias("scored"), label, "predicted_class"),
+            held_out.select(F.lit("baseline").alias("scored"), label, F.lit(common).alias("predicted_class")),
+        ]
+        metrics = classification_metrics(reduce(DataFrame.unionByName, scored), label, "predicted_class", by=("scored",))
+        out.append(
+            VectorExperiment(
+                name, chosen.count(), coefficients, float(fitted.intercept),
+                with_vectors(labels, sparse_vectors(entries.drop("train"), id_column), id_column).select(
+                    id_column, label, F.to_json("indices").alias("indices"), F.to_json("values").alias("values")
+                ),
+                predictions, metrics,
+            )
+        )
+    return out
+
+
+def metrics_document(experiment: Experiment | VectorExperiment) -> DataFrame:
     """One nested row: baseline and model scores with the data set's size."""
     def scores(kind: str):
         row = F.struct(*METRICS)
@@ -207,16 +317,16 @@ def metrics_document(experiment: Experiment) -> DataFrame:
         "baseline_metrics",
         "model_metrics",
         F.lit(size).cast("long").alias("dataset_rows"),
-        F.lit(len(experiment.features)).alias("features_count"),
+        F.lit(experiment.features_count).alias("features_count"),
     )
 
 
-def comparison(experiments: Sequence[Experiment]) -> DataFrame:
+def comparison(experiments: Sequence[Experiment | VectorExperiment]) -> DataFrame:
     """One row per experiment: feature count and the headline scores."""
     rows = [
         e.metrics.where(F.col("scored") == "model").select(
             F.lit(e.name).alias("experiment"),
-            F.lit(len(e.features)).alias("features_count"),
+            F.lit(e.features_count).alias("features_count"),
             "accuracy", "balanced_accuracy", "f1",
         )
         for e in experiments
@@ -224,7 +334,7 @@ def comparison(experiments: Sequence[Experiment]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-def comparison_document(experiments: Sequence[Experiment]) -> DataFrame:
+def comparison_document(experiments: Sequence[Experiment | VectorExperiment]) -> DataFrame:
     """One row with the complete metrics of each experiment under its name."""
     rows = [
         metrics_document(e).select(F.struct("*").alias(e.name)) for e in experiments

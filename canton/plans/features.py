@@ -125,6 +125,60 @@ def safety_features(
     return wide_features(rows, ["id_commune"], features)
 
 
+def _entry(name, value: str):
+    return F.struct(name.alias("feature"), F.col(value).alias("value"))
+
+
+def _long(rows: DataFrame, *entries) -> DataFrame:
+    """(id_commune, feature, value) from entries per row; the largest value of a repeated feature."""
+    narrow = rows.select("id_commune", F.inline(F.array(*entries)))
+    return narrow.groupBy("id_commune", "feature").agg(F.max("value").alias("value"))
+
+
+def election_rows(facts: DataFrame, exclude: Collection[str] = ()) -> DataFrame:
+    """``election_features`` in long form: a row per value, any number of names.
+
+    Turnout metrics are named ``<metric>_<election>``, vote shares
+    ``share_<candidate slug>_<election>``. One shuffle, of pre-aggregated rows.
+    """
+    rows = facts.where(~F.col("election").isin(list(exclude))) if exclude else facts
+    typed = rows.select(
+        "id_commune",
+        F.lower("election").alias("ending"),
+        slugify(F.col("nom")).alias("slug"),
+        *double_columns(rows, ("pct_voix_exprimes", *L.FEATURE_METRICS), 0.0),
+    )
+    share = F.concat_ws("_", F.lit("share"), F.nullif("slug", F.lit("")), "ending")
+    return _long(
+        typed,
+        _entry(F.when(F.col("slug").isNotNull(), share), "pct_voix_exprimes"),
+        *[_entry(F.concat_ws("_", F.lit(m), "ending"), m) for m in L.FEATURE_METRICS],
+    ).where("feature IS NOT NULL")
+
+
+def safety_rows(
+    facts: DataFrame, dim_indicateur: DataFrame, years: Sequence[int] = (2021, 2022)
+) -> DataFrame:
+    """``safety_features`` in long form."""
+    rows = facts.withColumn("year", to_long(F.col("annee"), 0)).where(F.col("year").isin(list(years)))
+    dim = stored_table(
+        dim_indicateur.select("id_indicateur_securite", slugify(F.col("indicateur")).alias("slug")),
+        "indicators",
+    )
+    rows = require_key(rows, dim, ["id_indicateur_securite"], "slug")
+    typed = rows.select(
+        commune_id(F.col("id_commune")).alias("id_commune"),
+        F.col("year").cast("string").alias("ending"),
+        "slug",
+        *double_columns(rows, ("taux_pour_mille", "insee_pop", "insee_log"), 0.0),
+    )
+    return _long(
+        typed,
+        _entry(F.concat_ws("_", F.lit("sec_rate"), "slug", "ending"), "taux_pour_mille"),
+        *[_entry(F.concat_ws("_", F.lit(c), "ending"), c) for c in ("insee_pop", "insee_log")],
+    )
+
+
 def assemble(targets: DataFrame, *frames: DataFrame, key: str = "id_commune") -> DataFrame:
     """Labelled communes with all features, feature columns in sorted order.
 

@@ -20,9 +20,11 @@ from canton.operators.shaping import (
     check_arity, filter_area, find_column, repair_slot_header, stripped_names,
 )
 from canton.plans import layouts as L
-from canton.plans.experiment import Experiment, ablation, comparison, comparison_document
+from canton.plans.experiment import (
+    Experiment, VectorExperiment, ablation, comparison, comparison_document, vector_ablation,
+)
 from canton.plans.features import (
-    assemble, commune_labels, election_features, labelled_facts, safety_features,
+    assemble, commune_labels, election_features, election_rows, labelled_facts, safety_features, safety_rows,
 )
 from canton.plans.safety import conform_safety, wide_safety
 from canton.plans.stars import SafetyStar, VoteStar, build_safety_star, build_star
@@ -177,12 +179,15 @@ def build_model(
     loser: str = "LE PEN",
     label: str = "target_macron_wins_2022_t2",
     years: Sequence[int] = (2021, 2022),
+    vectors: bool = False,
     **fit,
-) -> list[Experiment]:
+) -> list[Experiment] | list[VectorExperiment]:
     """Features, label and the two experiments with and without ``optional``.
 
     The feature table is computed and stored once; the second experiment only
-    leaves columns out.
+    leaves columns out. With ``vectors`` that table stays in long form, and
+    the experiments run on sparse vectors: for more candidates and elections
+    than a table should have columns.
     """
     facts = stored_table(
         labelled_facts(votes.fact_resultats, votes.dim_election, votes.dim_candidat).select(
@@ -190,15 +195,24 @@ def build_model(
         ),
         "labelled-facts",
     )
+    labels = commune_labels(facts, target, winner, loser, label)
+    ending = f"_{optional.lower()}"
+    if vectors:
+        long = election_rows(facts, exclude=[target]).unionByName(
+            safety_rows(safety.fact_securite, safety.dim_indicateur_securite, years)
+        )
+        write_table(long, f"{out}/model/feature_rows")
+        sets = {f"with{ending}": None, f"without{ending}": ~F.col("feature").endswith(ending)}
+        rows = read_table(long.sparkSession, f"{out}/model/feature_rows")
+        return _saved(vector_ablation(labels, rows, sets, label, "id_commune", **fit), out)
     dataset = assemble(
-        commune_labels(facts, target, winner, loser, label),
+        labels,
         election_features(facts, exclude=[target]),
         safety_features(safety.fact_securite, safety.dim_indicateur_securite, years),
     )
     write_table(dataset, f"{out}/model/dataset")
     stored = read_table(dataset.sparkSession, f"{out}/model/dataset")
     names = [c for c in stored.columns if c not in ("id_commune", label)]
-    ending = f"_{optional.lower()}"
     runs = ablation(
         stored,
         {
@@ -209,6 +223,10 @@ def build_model(
         "id_commune",
         **fit,
     )
+    return _saved(runs, out)
+
+
+def _saved(runs: list, out: str) -> list:
     for run in runs:
         run.save(f"{out}/model")
     export_json(comparison(runs), f"{out}/model/comparison")

@@ -12,12 +12,16 @@ from canton.operators.metrics import classification_metrics, majority_class
 from canton.operators.scaling import impute_scale
 from canton.operators.split import stratified_split
 from canton.plans import layouts as L
-from canton.plans.experiment import ablation, comparison, metrics_document
+from canton.operators.sparse import feature_dictionary, scaled_entries, sparse_vectors, with_vectors
+from canton.plans.experiment import (
+    ablation, comparison, comparison_document, metrics_document, vector_ablation,
+)
 from canton.plans.features import (
-    assemble, commune_labels, election_features, labelled_facts, safety_features,
+    assemble, commune_labels, election_features, election_rows, labelled_facts, safety_features, safety_rows,
 )
 from canton.plans.stars import build_safety_star, build_star
-from canton.session import stored_table
+from canton.session import scratch_path, stored_table
+from canton.sources.sinks import export_json
 from canton.workload.registry import query, table
 from canton.workload.stars import SAFETY_SQL, safety_table
 from canton.workload.votes import SILVER_SQL, SLOTS, silver_table
@@ -214,14 +218,86 @@ def model_dataset_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model_dataset(spark, sf_dir)
 
 
+def _labels_and_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The labelled communes and all features as long rows."""
+    facts = stored_table(
+        _vote_facts(spark, sf_dir).select(
+            "id_commune", "election", "nom", "voix", "pct_voix_exprimes", *L.FEATURE_METRICS
+        ),
+        "labelled-facts",
+    )
+    star = build_safety_star(safety_table(spark, sf_dir))
+    rows = election_rows(facts, exclude=LATER).unionByName(
+        safety_rows(star.fact_securite, star.dim_indicateur_securite)
+    )
+    return commune_labels(facts, TARGET, "CANDIDAT 1", "CANDIDAT 2", "first_wins"), rows
+
+
+_ROWS_SQL = f"""
+    {SILVER_SQL}, {_FACTS_SQL}, {_EF_SQL}, {SAFETY_SQL}, {_SF_SQL},
+    feature_rows AS (
+      SELECT id_commune, feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT id_commune, CAST(COLUMNS(* EXCLUDE id_commune) AS DOUBLE) FROM ef) ON COLUMNS(* EXCLUDE id_commune) INTO NAME feature VALUE value)
+      UNION ALL
+      SELECT id_commune, feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT (SELECT id_commune, CAST(COLUMNS(* EXCLUDE id_commune) AS DOUBLE) FROM sf) ON COLUMNS(* EXCLUDE id_commune) INTO NAME feature VALUE value)
+    ),
+    dictionary AS (
+      SELECT feature, CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS index, count(value) AS n_rows,
+             avg(value) AS mean, CASE WHEN stddev_pop(value) = 0 THEN 1 ELSE stddev_pop(value) END AS deviation
+      FROM feature_rows GROUP BY feature
+    )
+"""
+
+
+def _sql_digits(x: str) -> str:
+    return f"round_even(({x}) * 1000000, 0) / 1000000"
+
+
+@query("feature_rows", f"WITH {_ROWS_SQL} SELECT * FROM feature_rows")
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All features of all communes in long form: names are data."""
+    return _labels_and_rows(spark, sf_dir)[1]
+
+
+@query(
+    "feature_dictionary",
+    f"WITH {_ROWS_SQL} SELECT feature, index, n_rows, {_sql_digits('mean')} AS mean, {_sql_digits('deviation')} AS deviation FROM dictionary",
+)
+def feature_dictionary_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rounded = {c: half_even(F.col(c), 6) for c in ("mean", "deviation")}
+    return feature_dictionary(_labels_and_rows(spark, sf_dir)[1]).withColumns(rounded)
+
+
+@query(
+    "feature_vectors",
+    f"""
+    WITH {_ROWS_SQL},
+    targets AS (SELECT id_commune, CAST(max(CASE WHEN numero_panneau = 1 THEN voix END) > max(CASE WHEN numero_panneau = 2 THEN voix END) AS INTEGER) AS first_wins
+                FROM facts WHERE election = '{TARGET}' AND numero_panneau IN (1, 2) GROUP BY id_commune)
+    SELECT id_commune, first_wins, CAST(row_number() OVER (PARTITION BY id_commune ORDER BY index) - 1 AS INTEGER) AS place,
+           index, {_sql_digits('(value - mean) / deviation')} AS value
+    FROM targets JOIN feature_rows USING (id_commune) JOIN dictionary USING (feature)
+    """,
+)
+def feature_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled communes' sparse vectors, an entry a row."""
+    labels, rows = _labels_and_rows(spark, sf_dir)
+    rows = stored_table(rows, "feature-rows")
+    vectors = sparse_vectors(scaled_entries(rows, feature_dictionary(rows), "id_commune"), "id_commune")
+    entries = F.arrays_zip("indices", "values")
+    return (
+        with_vectors(labels, vectors, "id_commune")
+        .select("id_commune", "first_wins", F.posexplode(entries).alias("place", "entry"))
+        .select(
+            "id_commune", "first_wins", "place", F.col("entry.indices").alias("index"),
+            half_even(F.col("entry.values"), 6).alias("value"),
+        )
+    )
+
+
 def _experiments(spark: SparkSession, sf_dir: str):
-    dataset = stored_table(model_dataset(spark, sf_dir), "model-dataset")
-    features = [c for c in dataset.columns if c not in ("id_commune", "first_wins")]
-    sets = {
-        "with_last_round": features,
-        "without_last_round": [f for f in features if not f.endswith("_2000_t1")],
-    }
-    return ablation(dataset, sets, "first_wins", "id_commune")
+    labels, rows = _labels_and_rows(spark, sf_dir)
+    sets = {"with_last_round": None, "without_last_round": ~F.col("feature").endswith("_2000_t1")}
+    return vector_ablation(labels, rows, sets, "first_wins", "id_commune")
 
 
 @query("logit_comparison")
@@ -341,3 +417,87 @@ def logit_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
             for e in _document_experiment(spark, sf_dir)
         ],
     )
+
+
+_SCORES = ("accuracy", "balanced_accuracy", "precision", "recall", "specificity", "f1", "tp", "tn", "fp", "fn")
+
+
+def _scores_sql() -> str:
+    """CTE ``scores``: all metrics of the baseline and of both fits on the held-out documents."""
+    rows = [f"SELECT experiment, 'model' AS scored, quality, predicted_class AS p FROM ({_predicted_sql(n, f)})" for n, f in _LOGIT_SETS.items()]
+    common = "(SELECT CAST(round_even(avg(quality), 0) AS INTEGER) FROM train)"
+    rows += [f"SELECT '{n}', 'baseline', quality, {common} FROM scaled WHERE part = 'test'" for n in _LOGIT_SETS]
+    metrics = _METRIC_SQL.replace("lang", "experiment").replace("shares AS", "all_shares AS").replace("FROM shares", "FROM all_shares")
+    return f"scored_rows AS ({' UNION ALL '.join(rows)}), scores AS (WITH {metrics.strip()})"
+
+
+def _flat_sql(prefix: str, scored: str) -> list[str]:
+    return [f"max(CASE WHEN scored = '{scored}' THEN {m} END) AS {prefix}_{m}" for m in _SCORES]
+
+
+@query(
+    "document_metrics",
+    _LOGIT_SQL + f""", {_scores_sql()}
+    SELECT experiment, {", ".join(_flat_sql("baseline", "baseline") + _flat_sql("model", "model"))},
+           (SELECT count(*) FROM labels) AS dataset_rows,
+           CAST(CASE experiment WHEN 'size_only' THEN 1 ELSE 2 END AS INTEGER) AS features_count
+    FROM scores GROUP BY experiment
+    """,
+)
+def document_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics document of each fit on the document labels, flattened."""
+    rows = reduce(DataFrame.unionByName, map(metrics_document, _document_experiment(spark, sf_dir)))
+    flat = [F.col(f"{k}_metrics.{m}").alias(f"{k}_{m}") for k in ("baseline", "model") for m in _SCORES]
+    return rows.select("experiment", *flat, "dataset_rows", "features_count")
+
+
+@query(
+    "document_comparison",
+    _LOGIT_SQL + f""", {_scores_sql()}
+    SELECT experiment, CAST(CASE experiment WHEN 'size_only' THEN 1 ELSE 2 END AS INTEGER) AS features_count,
+           accuracy, balanced_accuracy, f1
+    FROM scores WHERE scored = 'model'
+    """,
+)
+def document_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison table of both fits."""
+    return comparison(_document_experiment(spark, sf_dir))
+
+
+@query(
+    "comparison_payload",
+    _LOGIT_SQL + f""", {_scores_sql()}
+    SELECT experiment || '.' || scored AS entry, accuracy, f1, tp, tn, fp, fn FROM scores
+    """,
+)
+def comparison_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison document as written to JSON and read back, a row per block of scores."""
+    runs = _document_experiment(spark, sf_dir)
+    path = scratch_path(spark, "comparison")
+    export_json(comparison_document(runs), path)
+    document = spark.read.json(path)
+    blocks = [
+        F.struct(F.lit(f"{e.name}.{k}").alias("entry"), *[F.col(f"{e.name}.{k}_metrics.{m}").alias(m) for m in ("accuracy", "f1", "tp", "tn", "fp", "fn")])
+        for e in runs
+        for k in ("baseline", "model")
+    ]
+    return document.select(F.inline(F.array(*blocks)))
+
+
+@query(
+    "vector_predictions",
+    _LOGIT_SQL + " UNION ALL ".join(_predicted_sql(n, f) for n, f in _LOGIT_SETS.items()),
+)
+def vector_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document experiments again, from long rows and sparse vectors: equal predictions."""
+    wide = _document_features(spark, sf_dir)
+    cells = F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in _LOGIT_SETS["size_and_language"]]))
+    rows = wide.select("doc_id", cells).where("value IS NOT NULL")
+    sets = {n: F.col("feature").isin(f) for n, f in _LOGIT_SETS.items()}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            e.predictions.select(F.lit(e.name).alias("experiment"), "*").withColumn("predicted_proba", half_even(F.col("predicted_proba"), 4))
+            for e in vector_ablation(wide, rows, sets, "quality", "doc_id")
+        ],
+    )
