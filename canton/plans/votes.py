@@ -214,3 +214,15 @@ def versus(df: DataFrame, votes: str, rival_votes: str, name: str) -> DataFrame:
     """Votes relative to the main competitor, two digits; NULL without rival votes."""
     ratio = F.try_divide(F.col(votes).cast("double"), F.col(rival_votes).cast("double"))
     return df.withColumn(name, half_even(ratio))
+
+
+def commune_units(votes: DataFrame) -> DataFrame:
+    """The communes of each election as units of a crosswalk: (period, area, key, name, size).
+
+    A period is the year and the round (``20171``), the size the registered
+    voters; silver votes repeat both per candidate.
+    """
+    period = (F.col("annee_election") * 10 + F.col("tour")).cast("int").alias("period")
+    return votes.groupBy(
+        period, F.col("code_departement").alias("area"), F.col("code_commune").alias("key")
+    ).agg(F.max("libelle_commune").alias("name"), F.max("inscrits").cast("long").alias("size"))
