@@ -17,10 +17,11 @@ from canton.session import broadcast_if_small as small, stored_table as stored
 
 SIMILARITY = 0.8
 CELLS = 1 << 17  # word counts are summed in this many cells, whatever the corpus
-BROADCAST_ROWS = 500_000  # keys of at most some tens of bytes; more are joined by a shuffle
+BROADCAST_ROWS = 200_000  # keys of at most some tens of bytes; more are joined by a shuffle
 
 LONG = 96  # words from which a set has the larger sketch
-HOT = 32  # sets with a common pair of rare words that meet their earliest first
+HOT = 16  # sets with a common word in their prefixes that meet their earliest first
+GAIN = 0.05  # of the sets removed so far that a round must remove for another one
 
 _LAST = (1 << 63) - 1
 _KEY = ["k1", "k2"]
@@ -40,7 +41,7 @@ def _words(text: Column) -> Column:
 def _keyed(docs: DataFrame) -> DataFrame:
     """Documents by their order: doc_id, NULL last, then a hash of the text."""
     return docs.withColumns(
-        {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "h": F.hash("text")}
+        {"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "h": F.xxhash64("text")}
     )
 
 
@@ -129,13 +130,11 @@ def _beaten(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: f
     """Keys of the later sets of the pairs (``a``, ``b``, by k1) whose words are similar enough."""
     pairs = stored(pairs.select(F.col("a.k1").alias("a_k1"), F.col("b.k1").alias("b_k1")).distinct(), "pairs")
     ends = stored(pairs.select(F.explode(F.array("a_k1", "b_k1")).alias("k1")).distinct(), "ends")
-    wanted = (
-        classes.select(*_KEY, *_PLACE)
-        .join(_small(ends), "k1")
-        .groupBy("d", "h")
-        .agg(F.collect_list(F.struct("no", *_KEY)).alias("sets"))
-    )
-    lines = docs.select("d", "h", "text").join(_small(stored(wanted, "wanted")), ["d", "h"])
+    places = stored(classes.select(*_KEY, *_PLACE).join(_small(ends), "k1"), "places")
+    wanted = places.groupBy("d", "h").agg(F.collect_list(F.struct("no", *_KEY)).alias("sets"))
+    if places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)  # a document's list is as long as its places are many
+    lines = docs.select("d", "h", "text").join(wanted, ["d", "h"])
     # A repeated row brings its lines twice, with equal words.
     words = stored(
         lines.select("d", "h", F.split("text", "\n").alias("all"), F.explode("sets").alias("s"))
@@ -161,39 +160,50 @@ def _beaten(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: f
 def first_lines(docs: DataFrame, similarity: float) -> DataFrame:
     """(d, h, no) of the lines that stay: no earlier line is similar to them.
 
-    Where many sets share two of their three rarest words, these first meet
-    the earliest of them, one pair per set. Sets which that removes need not be
-    compared with each other again, so a large group of variants never yields
+    Where many sets share a word of their prefixes, these first meet the
+    earliest of them, one pair per set and word; those it does not remove meet
+    the earliest of their own, and so on while that removes enough. A set that
+    is removed is not tested again, so a large group of variants never yields
     its pairs. The rows of the prefix join are dealt out once, for both sides.
     """
     classes = stored(line_classes(docs, similarity), "lines")
-    two = F.array_compact(
-        F.array(*[
-            F.when(F.size("prefix") > j, F.hash(F.get("prefix", F.lit(i)), F.get("prefix", F.lit(j))))
-            for i, j in ((0, 1), (0, 2), (1, 2))
-        ])
-    )
-    counted = classes.select(F.explode(two).alias("key")).groupBy("key").count()
-    hot = stored(counted.where(F.col("count") >= HOT).select("key"), "hot")
-    keyed = classes.select("k1", *_PLACE, "n", "bits", "far", F.explode(two).alias("key")).join(_small(hot), "key")
-    heads = stored(
-        keyed.groupBy("key").agg(F.min(F.struct(*_PLACE, "k1", "n", "bits", "far")).alias("one")).select("key", "one.*"),
-        "heads",
-    )
-    star = keyed.alias("b").join(
-        _small(heads).alias("a"),
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.k1") != F.col("b.k1")) & _passes(similarity, False),
-    )
-    beaten = stored(_beaten(docs, classes, star, similarity), "beaten")
+    prefixes = classes.select(*_KEY, *_PLACE, "n", "bits", "far", F.posexplode("prefix").alias("pos", "word"))
+    often = stored(prefixes.groupBy("word").count().where(F.col("count") >= HOT).select("word"), "hot")
+    live = stored(prefixes.join(_small(often), "word"), "live")
+    beaten, removed = [], 0
+    while live.limit(1).count():
+        heads = live.groupBy("word").agg(F.min(F.struct(*_PLACE, "k1", "n", "bits", "far", "pos")).alias("one"))
+        heads = stored(heads.select("word", "one.*"), "heads")
+        star = live.alias("b").join(
+            _small(heads).alias("a"),
+            (F.col("a.word") == F.col("b.word")) & (F.col("a.k1") != F.col("b.k1")) & _passes(similarity, True),
+        )
+        beaten.append(stored(_beaten(docs, classes, star, similarity), "beaten"))
+        new = beaten[-1].count()
+        removed += new
+        if new <= removed * GAIN:
+            break
+        # Those that no head has beaten yet meet the next earliest of them.
+        served = _small(stored(heads.select("k1", "word"), "served"))
+        live = live.join(_small(beaten[-1]), _KEY, "left_anti").join(served, ["k1", "word"], "left_anti")
+        many = stored(live.groupBy("word").count().where(F.col("count") >= HOT).select("word"), "hot")
+        live = stored(live.join(_small(many), "word"), "live")
+    if not beaten:
+        beaten = [classes.select(*_KEY).limit(0)]
+    beaten = reduce(DataFrame.unionByName, beaten).distinct()
+    beaten = stored(beaten, "beaten")
     flagged = classes.join(_small(beaten.withColumn("beaten", F.lit(True))), _KEY, "left")
     prefixes = flagged.select(
-        "k1", "n", "bits", "far", F.col("beaten").isNotNull().alias("beaten"), F.posexplode("prefix").alias("pos", "word")
-    )
+        "k1", *_PLACE, "n", "bits", "far", F.col("beaten").isNotNull().alias("beaten"), F.posexplode("prefix").alias("pos", "word")
+    )
+    place = lambda side: F.struct(*[f"{side}.{c}" for c in _PLACE])
+    # Only the later set of a pair can be removed by it.
+    open_ = F.when(place("a") > place("b"), ~F.col("a.beaten")).otherwise(~F.col("b.beaten"))
     meeting = prefixes.alias("a").join(
         prefixes.alias("b"),
         (F.col("a.word") == F.col("b.word"))
         & (F.col("a.k1") < F.col("b.k1"))
-        & ~(F.col("a.beaten") & F.col("b.beaten"))
+        & open_
         & _passes(similarity, True),
     )
     late = stored(_beaten(docs, classes, meeting, similarity), "beaten")
@@ -223,9 +233,11 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, counts: bool =
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rows = _keyed(docs.select("doc_id", F.col("text").cast("string").alias("text"), row.alias("row")))
     none = F.array().cast("array<int>")
-    stays = F.filter(
-        "lines",
-        lambda line, i: F.array_contains(F.coalesce("kept", none), i) | ~F.rlike(line, F.lit(_SPACES.replace("[", "[^"))),
+    solid = F.lit(_SPACES.replace("[", "[^"))
+    wordless = F.array_compact(F.transform("lines", lambda line, i: F.when(~F.rlike(line, solid), i)))
+    # By line number: linear in the lines of a document.
+    stays = F.transform(
+        F.sort_array(F.array_union(F.coalesce("kept", none), wordless)), lambda i: F.get("lines", i)
     )
     out = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.array_join("stays", "\n")}
     out = {c: out[c] for c in docs.columns}
