@@ -81,7 +81,7 @@ def test_nulls_ties_and_empty(spark, rows):
 
 def test_changes_need_one_shuffle_of_the_units(spark):
     units = spark.range(1000).selectExpr(
-        "CAST(id % 5 AS INT) AS period", "'x' AS area", "CAST(id DIV 7 AS STRING) AS key", "'n' AS name", "id AS size"
+        "CAST(id % 5 AS INT) AS period", "CAST(id % 3 AS STRING) AS area", "CAST(id DIV 7 AS STRING) AS key", "'n' AS name", "id AS size"
     )
     plan = unit_changes(units)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(area") == 1 and "CartesianProduct" not in plan
