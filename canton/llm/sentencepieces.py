@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, functions as F
 from canton.llm.arrays import SLICE_BYTES, slices
 
 SPACE = "▁"
-CACHE_WORDS = 200_000  # words a worker remembers
-INDEX_CHARS = 250_000  # characters indexed at once; a longer word stands alone
+CACHE_WORDS = 150_000  # words of each of the two generations that a worker remembers
+INDEX_CHARS = 250_000  # characters indexed at once
+LONG_WORD = 200  # characters from which a word is walked alone, and not remembered
 CACHE_PAIRS = 2_000_000  # decisions on neighbours a worker remembers
 BATCH_BYTES = 2 * SLICE_BYTES
 
@@ -79,6 +80,8 @@ class Pieces:
         parts = not any("\n" in t and len(t) > 1 for t in self.id)
         self.words = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+" if parts else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pairs: dict[int, bool] = {}
         self.pair_keys = np.zeros(0, np.int64)
         self.pair_stable = np.zeros(0, bool)
 
@@ -187,22 +190,66 @@ class Pieces:
         ids = last[ends]
         counts = np.searchsorted(ends, begin + sizes, side="right") - np.searchsorted(ends, begin, side="right")
         cut = np.concatenate([[0], np.cumsum(counts)])
-        out = []
-        plain = ids < self.size
-        whole = ids.astype(np.int32)
-        for i in range(len(words)):
-            part = slice(cut[i], cut[i + 1])
-            if plain[part].all():
-                out.append(whole[part].tobytes())
-                continue
-            pieces = [
-                np.array([x], np.int32) if x < self.size
-                else self.byte_id[list(chr(x - self.size).encode())]
-                for x in ids[part].tolist()
-            ]
-            out.append(np.concatenate(pieces).tobytes())
+        whole, at = ids.astype(np.int32).tobytes(), (4 * cut).tolist()
+        out = [whole[a:b] for a, b in zip(at, at[1:])]
+        for i in np.unique(np.searchsorted(cut, np.flatnonzero(ids >= self.size), side="right") - 1).tolist():
+            out[i] = self._with_bytes(ids[cut[i] : cut[i + 1]])
         return out
 
+    def _with_bytes(self, ids: np.ndarray) -> bytes:
+        """Characters that are no piece become the pieces of their bytes."""
+        pieces = [
+            np.array([x], np.int32) if x < self.size
+            else self.byte_id[list(chr(x - self.size).encode())]
+            for x in ids.tolist()
+        ]
+        return np.concatenate(pieces).tobytes()
+
+    def _stable_pair(self, left: int, right: int) -> bool:
+        key = left << 32 | right
+        known = self.pairs.get(key)
+        if known is None:
+            if len(self.pairs) >= CACHE_PAIRS // 10:
+                self.pairs.clear()
+            a, b = self._shape(left), self._shape(right)
+            known = self.pairs[key] = a + b not in self.id and self.merged(a + b) == [a, b]
+        return known
+
+    def encode_long(self, word: str) -> bytes:
+        """The ids of one long word: indexed in parts that overlap by a piece, relaxed edge by edge."""
+        n = len(word)
+        last = np.full(n + 1, -1, np.int64)
+        came = np.zeros(n + 1, np.int64)
+        last[0] = -2
+        held = [np.zeros(0, np.int64)] * 3
+        for low in range(0, n, INDEX_CHARS):
+            points = np.frombuffer(word[low : low + INDEX_CHARS + self.width - 1].encode("utf-32-le"), np.uint32)
+            near = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
+            start, length, piece = self.edges(np.where(self.alphabet[near] == points, near + 2, 1).astype(np.uint16))
+            alone = np.ones(len(points), bool)
+            alone[start[length == 1]] = False
+            other = np.flatnonzero(alone)
+            start = np.concatenate([start, other])
+            length = np.concatenate([length, np.ones(len(other), np.int64)])
+            piece = np.concatenate([piece, points[other].astype(np.int64) + self.size])
+            mine = start < INDEX_CHARS
+            start, length, piece = start[mine] + low, length[mine], piece[mine]
+            start, stop, piece = (np.concatenate(x) for x in zip(held, (start, start + length, piece)))
+            order = np.argsort(stop, kind="stable")
+            ready = int((stop <= low + INDEX_CHARS).sum())
+            held = [x[order[ready:]] for x in (start, stop, piece)]
+            for a in range(0, ready, INDEX_CHARS):
+                part = order[a : min(a + INDEX_CHARS, ready)]
+                for s, t, p in zip(start[part].tolist(), stop[part].tolist(), piece[part].tolist()):
+                    before = int(last[s])
+                    if last[t] == -1 and (before == -2 or (before >= 0 and self._stable_pair(before, p))):
+                        last[t], came[t] = p, s
+        path, at = [], n
+        while at > 0:
+            path.append(int(last[at]))
+            at = int(came[at])
+        return self._with_bytes(np.array(path[::-1], np.int64))
+
     @staticmethod
     def _parts(words: list[str]) -> Iterator[list[str]]:
         """Lists of words of at most INDEX_CHARS characters, one word at least."""
@@ -219,13 +266,26 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text: a space before it, spaces as the space mark."""
         split = [self.words.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        missing = list({w for words in split for w in words if w not in self.cache})
+        ids: dict[str, bytes] = {}
+        missing = []
+        for word in {w for words in split for w in words}:
+            known = self.cache.get(word)
+            if known is None and (known := self.older.get(word)) is not None:
+                self.cache[word] = known
+            if known is not None:
+                ids[word] = known
+            elif len(word) > LONG_WORD:
+                ids[word] = self.encode_long(word)
+            else:
+                missing.append(word)
         if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
-            missing = list({w for words in split for w in words})
+            # Words met since the last change of generations stay at hand.
+            self.older, self.cache = self.cache, {}
         for part in self._parts(missing):
-            self.cache.update(zip(part, self.encode_words(part)))
-        get = self.cache.__getitem__
+            new = dict(zip(part, self.encode_words(part)))
+            ids.update(new)
+            self.cache.update(new)
+        get = ids.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
     def decode(self, ids: np.ndarray) -> str:

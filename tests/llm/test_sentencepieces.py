@@ -61,3 +61,26 @@ def test_bounded_caches(library, monkeypatch):
         (got,) = pieces.encode([text])
         assert np.frombuffer(got, np.int32).tolist() == library.encode(text)
         assert len(pieces.cache) <= max(50, len(set(pieces.words.findall(own.SPACE + text.replace(" ", own.SPACE)))))
+
+
+def test_long_texts_without_spaces(library, monkeypatch):
+    """100,000 characters in one word: letters, Chinese, one letter, odd signs; equal to the library in seconds."""
+    import time
+
+    import numpy as np
+
+    rng = random.Random(4)
+    pieces = own.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    prose = "".join(rng.choice(["the", "and", "tion", "er", "in", "wh", "é", "Q", "zz"]) for _ in range(100_000))[:100_000]
+    chinese = "".join(chr(rng.randint(0x4E00, 0x6000)) for _ in range(100_000))
+    begun = time.monotonic()
+    for text in (prose, chinese, "a" * 100_000, "ᚠ😀" * 30_000, prose[:700] + "\n" + chinese[:900] + " " + prose[:201]):
+        (ids,) = pieces.encode([text])
+        assert np.frombuffer(ids, np.int32).tolist() == library.encode(text)
+    assert time.monotonic() - begun < 60
+    # Parts of a long word overlap by a piece.
+    monkeypatch.setattr(own, "INDEX_CHARS", 97)
+    monkeypatch.setattr(own, "CACHE_PAIRS", 500)
+    for text in (prose[:3000], chinese[:1500], "ab" * 700, *noise(3, 5)):
+        (ids,) = pieces.encode([text.replace(" ", "")])
+        assert np.frombuffer(ids, np.int32).tolist() == library.encode(text.replace(" ", ""))
