@@ -20,8 +20,8 @@ CELLS = 1 << 17  # word counts are summed in this many cells, whatever the corpu
 BROADCAST_ROWS = 200_000  # keys of at most some tens of bytes; more are joined by a shuffle
 
 LONG = 96  # words from which a set has the larger sketch
-HOT = 16  # sets with a common word in their prefixes that meet their earliest first
-GAIN = 0.05  # of the sets removed so far that a round must remove for another one
+HOT = 32  # sets with a common word in their prefixes that meet their earliest first
+GAIN = 0.2  # of the sets removed so far that a round must remove for another one
 
 _LAST = (1 << 63) - 1
 _KEY = ["k1", "k2"]
@@ -167,43 +167,46 @@ def first_lines(docs: DataFrame, similarity: float) -> DataFrame:
     its pairs. The rows of the prefix join are dealt out once, for both sides.
     """
     classes = stored(line_classes(docs, similarity), "lines")
-    prefixes = classes.select(*_KEY, *_PLACE, "n", "bits", "far", F.posexplode("prefix").alias("pos", "word"))
-    often = stored(prefixes.groupBy("word").count().where(F.col("count") >= HOT).select("word"), "hot")
-    live = stored(prefixes.join(_small(often), "word"), "live")
-    beaten, removed = [], 0
-    while live.limit(1).count():
-        heads = live.groupBy("word").agg(F.min(F.struct(*_PLACE, "k1", "n", "bits", "far", "pos")).alias("one"))
+    beaten, served, removed = classes.select(*_KEY).limit(0), None, 0
+    while True:
+        open_ = classes if not removed else classes.join(_small(beaten), _KEY, "left_anti")
+        live = open_.select(*_KEY, *_PLACE, "n", "bits", "far", F.posexplode("prefix").alias("pos", "word"))
+        if served is not None:
+            live = live.join(_small(served), ["k1", "word"], "left_anti")
+        # The least document first: a long is aggregated by hash, a struct is not.
+        least = live.groupBy("word").agg(F.min("d").alias("d"), F.count(F.lit(1)).alias("times"))
+        least = stored(least.where(F.col("times") >= HOT).select("word", "d"), "hot")
+        heads = live.join(_small(least), ["word", "d"]).groupBy("word").agg(
+            F.min(F.struct(*_PLACE, "k1", "n", "bits", "far", "pos")).alias("one")
+        )
         heads = stored(heads.select("word", "one.*"), "heads")
         star = live.alias("b").join(
             _small(heads).alias("a"),
             (F.col("a.word") == F.col("b.word")) & (F.col("a.k1") != F.col("b.k1")) & _passes(similarity, True),
         )
-        beaten.append(stored(_beaten(docs, classes, star, similarity), "beaten"))
-        new = beaten[-1].count()
-        removed += new
-        if new <= removed * GAIN:
+        new = stored(_beaten(docs, classes, star, similarity), "beaten")
+        count = new.count()
+        removed += count
+        beaten = stored(beaten.unionByName(new), "beaten")
+        if count <= removed * GAIN:
             break
         # Those that no head has beaten yet meet the next earliest of them.
-        served = _small(stored(heads.select("k1", "word"), "served"))
-        live = live.join(_small(beaten[-1]), _KEY, "left_anti").join(served, ["k1", "word"], "left_anti")
-        many = stored(live.groupBy("word").count().where(F.col("count") >= HOT).select("word"), "hot")
-        live = stored(live.join(_small(many), "word"), "live")
-    if not beaten:
-        beaten = [classes.select(*_KEY).limit(0)]
-    beaten = reduce(DataFrame.unionByName, beaten).distinct()
-    beaten = stored(beaten, "beaten")
+        pairs = heads.select("k1", "word")
+        served = stored(pairs if served is None else served.unionByName(pairs), "served")
+    beaten = stored(beaten.distinct(), "beaten")
     flagged = classes.join(_small(beaten.withColumn("beaten", F.lit(True))), _KEY, "left")
     prefixes = flagged.select(
-        "k1", *_PLACE, "n", "bits", "far", F.col("beaten").isNotNull().alias("beaten"), F.posexplode("prefix").alias("pos", "word")
+        "k1", "d", "n", "bits", "far", F.col("beaten").isNotNull().alias("beaten"), F.posexplode("prefix").alias("pos", "word")
     )
-    place = lambda side: F.struct(*[f"{side}.{c}" for c in _PLACE])
-    # Only the later set of a pair can be removed by it.
-    open_ = F.when(place("a") > place("b"), ~F.col("a.beaten")).otherwise(~F.col("b.beaten"))
+    # Only the later set of a pair can be removed by it: a removed one is met only where it may be the earlier.
+    may = (~F.col("a.beaten") | ((F.col("a.d") <= F.col("b.d")) & ~F.col("b.beaten"))) & (
+        ~F.col("b.beaten") | ((F.col("b.d") <= F.col("a.d")) & ~F.col("a.beaten"))
+    )
     meeting = prefixes.alias("a").join(
         prefixes.alias("b"),
         (F.col("a.word") == F.col("b.word"))
         & (F.col("a.k1") < F.col("b.k1"))
-        & open_
+        & may
         & _passes(similarity, True),
     )
     late = stored(_beaten(docs, classes, meeting, similarity), "beaten")

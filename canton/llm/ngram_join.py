@@ -75,7 +75,7 @@ def _digests(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, the set digest (d1, d2, n) and the band hashes of every text."""
+    """The row key (id, t), the set digest (d1, d2, n) and the band hashes of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -87,16 +87,17 @@ def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"),
+                    part.column("id"),
+                    part.column("t"),
                     pa.array(d1.view(np.int64)),
                     pa.array(d2.view(np.int64)),
                     pa.array(n.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[full].ravel().view(np.int64))),
                 ],
-                ["doc_id", "d1", "d2", "n", "bands"],
+                ["id", "t", "d1", "d2", "n", "bands"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, d1 long, d2 long, n int, bands array<long>")
+    return docs.mapInArrow(run, "id long, t long, d1 long, d2 long, n int, bands array<long>")
 
 
 def shared_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -124,120 +125,151 @@ def shared_counts(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-_MET = "rep long, links long, root long"
+_MET = "node long, links long, root long"
+_LAST = (1 << 63) - 1  # stands for a NULL doc_id: such rows come last
 
 
-def near_duplicates(
+def keyed(docs: DataFrame) -> DataFrame:
+    """The texts with their row keys: a doc_id alone does not tell rows apart, nor does NULL."""
+    text = F.col("text").cast("string")
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"),
+        F.xxhash64(text).alias("t"),
+        text.alias("text"),
+    )
+
+
+def linked_rows(
     docs: DataFrame,
     words: int = WORDS,
     similarity: float = SIMILARITY,
     recall: float = RECALL,
     max_hashes: int = MAX_HASHES,
 ) -> DataFrame:
-    """doc_id, class_id, n_links and n_copies of every document.
-
-    Two documents are linked if the Jaccard similarity of their sets of
-    ``words`` consecutive words (split at white space) is ``similarity`` or
-    more. ``n_links`` counts a document's links to other rows, ``n_copies`` the
-    rows with its own set, itself included; ``class_id`` is the least doc_id
-    reached over links. A text with fewer words has the one n-gram of all its
-    words; texts without words (empty, NULL) are copies of each other and of
-    nothing else. Repeated rows count as copies. Rows without a doc_id take no
-    part: class NULL, no links, one copy. Columns besides doc_id and text are
-    ignored. Pairs at the similarity itself are found with probability
-    ``recall``, more similar ones more surely; all that is reported is exact.
-    """
-    spark = docs.sparkSession
+    """(id, t, class_id, n_links, n_copies, first) of every row: ``first`` is the row (id, t) its group keeps."""
     bands, rows = choose_bands(similarity, recall, max_hashes)
-    docs = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    )
-    signed = stored(signatures(docs.where(F.col("doc_id").isNotNull()), words, bands, rows), "signatures")
+    docs = keyed(docs)
+    signed = stored(signatures(docs, words, bands, rows), "signatures")
     classes = stored(
-        signed.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies")),
+        signed.groupBy("d1", "d2", "n")
+        .agg(
+            F.min(F.struct("id", "t")).alias("rep"),
+            F.count(F.lit(1)).alias("n_copies"),
+            F.any_value("bands").alias("bands"),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    member = signed.join(classes, ["d1", "d2", "n"])
-    keys = member.where((F.col("doc_id") == F.col("rep")) & (F.col("n") > 0)).select(
-        "rep", F.explode("bands").alias("band")
-    )
+    keys = classes.where("n > 0").select("node", F.explode("bands").alias("band"))
     buckets = stored(
-        keys.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most"),
+        keys.groupBy("band").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most"),
         "buckets",
     )
-    star = keys.join(buckets, "band").where(F.col("rep") != F.col("least"))
-    groups = components(star.select(F.col("least").alias("u"), F.col("rep").alias("v")))
+    star = keys.join(buckets, "band").where(F.col("node") != F.col("least"))
+    groups = components(star.select(F.col("least").alias("u"), F.col("node").alias("v")))
     sizes = stored(
         groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "groups"
     )
     # A text of block i meets the blocks j of its group in the pairs (i, j) and (j, i).
-    copies = classes.select("rep", "n_copies").groupBy("rep").agg(F.sum("n_copies").alias("n_copies"))
     placed = (
         groups.join(sizes, "root")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .join(copies.withColumnRenamed("rep", "node"), "node")
+        .join(classes.select("node", "rep", "n_copies", "d1", "d2"), "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            F.col("node").alias("doc_id"), "root", "n_copies", "block",
+            "rep.id", "rep.t", "node", "d1", "d2", "root", "n_copies", "block",
             F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         )
     )
-    meeting = docs.join(placed, "doc_id")
+    meeting = docs.join(placed, ["id", "t"])
 
     def verify(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         column = lambda n: group.column(n).to_numpy()
-        rep, copy, block = column("doc_id"), column("n_copies"), column("block")
+        node, copy, block = column("node"), column("n_copies"), column("block")
         text = group.column("text")
         text = text.chunk(0) if text.num_chunks else pa.array([], pa.string())
         values, offsets = shingle_sets(text, words)
-        # Repeated rows of one document are one member.
+        # Repeated rows are one member; a row that only shares its key with a member is none.
         d1, d2 = _digests(values, offsets)
-        _, keep = np.unique(np.column_stack([rep.view(np.uint64), d1, d2]), axis=0, return_index=True)
-        if len(keep) < len(rep):
-            keep.sort()
-            values = np.concatenate([values[offsets[i] : offsets[i + 1]] for i in keep])
+        own = np.flatnonzero((d1.view(np.int64) == column("d1")) & (d2.view(np.int64) == column("d2")))
+        keep = np.sort(own[np.unique(node[own], return_index=True)[1]])
+        if len(keep) < len(node):
+            values = np.concatenate([values[:0], *(values[offsets[i] : offsets[i + 1]] for i in keep)])
             offsets = np.concatenate([[0], np.cumsum(np.diff(offsets)[keep])])
-            rep, copy, block = rep[keep], copy[keep], block[keep]
+            node, copy, block = node[keep], copy[keep], block[keep]
         n = np.diff(offsets).astype(np.float64)
         shared = shared_counts(values, offsets)
         union = n[:, None] + n[None, :] - shared
-        linked = (shared >= similarity * union - 1e-9) & (rep[:, None] != rep[None, :])
+        linked = (shared >= similarity * union - 1e-9) & (node[:, None] != node[None, :])
         if group.column("low")[0].as_py() != group.column("high")[0].as_py():
             linked &= block[:, None] != block[None, :]  # pairs of one block meet elsewhere
         links = (linked * copy[None, :]).sum(axis=1)
         a, b = np.nonzero(np.triu(linked, 1))
-        root = local_roots(rep, a, b)
+        root = local_roots(node, a, b)
         kept = links > 0
         return pa.table(
-            {"rep": pa.array(rep[kept]), "links": pa.array(links[kept].astype(np.int64)), "root": pa.array(root[kept])}
+            {"node": pa.array(node[kept]), "links": pa.array(links[kept].astype(np.int64)), "root": pa.array(root[kept])}
         )
 
     met = stored(meeting.groupBy("root", "low", "high").applyInArrow(verify, _MET), "links")
-    linked = components(met.where(F.col("root") != F.col("rep")).select(F.col("root").alias("u"), F.col("rep").alias("v")))
-    links = met.groupBy("rep").agg(F.sum("links").alias("links"))
+    linked = components(met.where(F.col("root") != F.col("node")).select(F.col("root").alias("u"), F.col("node").alias("v")))
+    least = linked.join(classes.select("node", "rep"), "node").groupBy("root").agg(F.min("rep").alias("first"))
+    firsts = linked.join(least, "root").select("node", "first")
     found = stored(
-        links.join(linked.select(F.col("node").alias("rep"), F.col("root").alias("class")), "rep", "left"), "found"
+        met.groupBy("node").agg(F.sum("links").alias("links")).join(firsts, "node", "left"), "found"
     )
-    result = member.select("doc_id", "rep", "n_copies").join(found, "rep", "left").select(
-        "doc_id",
-        F.coalesce("class", "rep").alias("class_id"),
+    placed_classes = classes.select("d1", "d2", "n", "node", "rep", "n_copies").join(found, "node", "left")
+    result = signed.select("id", "t", "d1", "d2", "n").join(placed_classes, ["d1", "d2", "n"])
+    first = F.coalesce("first", "rep")
+    return result.select(
+        "id", "t",
+        F.when(first["id"] != _LAST, first["id"]).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("n_copies") - 1).alias("n_links"),
         "n_copies",
-    )
-    unknown = docs.where(F.col("doc_id").isNull()).select(
-        "doc_id", F.lit(None).cast("long").alias("class_id"),
-        F.lit(0).cast("long").alias("n_links"), F.lit(1).cast("long").alias("n_copies"),
+        first.alias("first"),
     )
-    return result.unionByName(unknown)
+
+
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id, n_links and n_copies of every document.
+
+    Two rows are linked if the Jaccard similarity of their sets of ``words``
+    consecutive words (split at white space) is ``similarity`` or more.
+    ``n_links`` counts a row's links to other rows, ``n_copies`` the rows with
+    its own set, itself included; ``class_id`` is the least doc_id reached over
+    links. A text with fewer words has the one n-gram of all its words; texts
+    without words (empty, NULL) are copies of each other and of nothing else.
+    Repeated rows count as copies; unlike texts of one doc_id are rows of their
+    own; a class of rows without a doc_id has class NULL. Columns besides
+    doc_id and text are ignored; an empty table gives no rows. Pairs at the
+    similarity itself are found with probability ``recall``, more similar ones
+    more surely; all that is reported is exact.
+    """
+    rows = linked_rows(docs, **options)
+    return rows.select(F.when(F.col("id") != _LAST, F.col("id")).alias("doc_id"), "class_id", "n_links", "n_copies")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without all but one document of each near-duplicate class.
+    """``docs`` without all but one row of each near-duplicate class.
 
-    The least doc_id of a class stays; of repeated rows of one doc_id one
-    stays. Rows without a doc_id all stay.
+    The row with the least doc_id stays, one without an id only where no row of
+    the class has one; of unlike texts of one doc_id the one with the least
+    hash counts. Of rows repeated with their doc_id and text one stays. All
+    columns pass through; NULL and empty texts are one class.
     """
-    gone = near_duplicates(docs, **options).where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return known.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    rows = stored(linked_rows(docs, **options).select("id", "t", "first"), "rows")
+    row = F.struct("id", "t")
+    gone = rows.where(row != F.col("first")).select("id", "t").distinct()
+    again = rows.where(row == F.col("first")).groupBy("id", "t").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = stored(again.select("id", "t"), "again")
+    # The caller's columns travel as one, so that none can clash.
+    whole = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("t"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    left_out = stored(gone.unionByName(again), "gone")
+    kept = whole.join(left_out, ["id", "t"], "left_anti")
+    once = whole.join(again, ["id", "t"]).dropDuplicates(["id", "t"])
+    return kept.unionByName(once).select("row.*")

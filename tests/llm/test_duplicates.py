@@ -16,7 +16,7 @@ def shingles(text):
 
 
 def brute_classes(rows):
-    known = [(i, shingles(t)) for i, t in rows if i is not None]
+    known = [(i, shingles(t)) for i, t in rows]
     n = len(known)
     links = [0] * n
     copies = [0] * n
@@ -40,9 +40,10 @@ def brute_classes(rows):
                 root[max(top(a), top(b))] = min(top(a), top(b))
     least = {}
     for a in range(n):
-        least[top(a)] = min(known[a][0], least.get(top(a), known[a][0]))
+        ids = {known[a][0], least.get(top(a))} - {None}
+        least[top(a)] = min(ids, default=None)
     out = [(known[a][0], least[top(a)], links[a], copies[a]) for a in range(n)]
-    return sorted(out) + [(None, None, 0, 1)] * (len(rows) - n)
+    return sorted(out, key=lambda r: (r[0] is None, r[0] or 0, r[2:]))
 
 
 def corpus(seed, groups=12):
@@ -74,15 +75,35 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch):
     kept = ngram_join.keep_one(df)
     assert kept.columns == df.columns
     ids = [r.doc_id for r in kept.collect()]
-    want = {r[1] for r in got if r[0] is not None}
-    assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 2
+    # Rows without an id are copies of others here, so each class keeps one with an id.
+    assert sorted(ids) == sorted({r[1] for r in got})
+
+
+def test_one_id_for_unlike_texts_and_none(spark):
+    """Text A and B under one id, B again under another, copies without an id: each text stays once."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b), (None, c), (None, c), (None, c + " more"), (3, a + " more"), (4, None), (4, ""), (1, a)]
+    df = spark.createDataFrame([(i, t, i, "x") for i, t in rows], "doc_id long, text string, id long, t string")
+    kept = ngram_join.keep_one(df)
+    assert kept.columns == df.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sum(i == 1 and t == a for i, t in got) == 1 and sum(i == 1 and t == b for i, t in got) == 1
+    assert sum(i is None for i, _ in got) == 1 and sum(i == 4 for i, _ in got) == 1 and len(got) == 4
+    classes = sorted((tuple(r) for r in ngram_join.near_duplicates(df).collect()), key=repr)
+    assert classes == sorted(brute_classes(rows), key=repr)
+
+
+def test_no_documents(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, row string")
+    assert ngram_join.near_duplicates(empty).count() == 0
+    assert ngram_join.keep_one(empty).count() == 0 and ngram_join.keep_one(empty).columns == empty.columns
 
 
 def test_near_duplicates_of_given_documents(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.collect()]
     got = sorted(tuple(r) for r in ngram_join.near_duplicates(df).collect())
-    assert got == brute_classes(rows)
+    assert got == sorted(brute_classes(rows))
 
 
 def test_banding_reaches_the_recall():
