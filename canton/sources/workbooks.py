@@ -50,21 +50,27 @@ def _column_index(reference: str) -> int:
     return _letters_index(reference.rstrip("0123456789"))
 
 
-def _first_sheet(book: zipfile.ZipFile) -> str:
+def sheet_parts(book: zipfile.ZipFile) -> dict[str, str]:
+    """The zip entry of each sheet, in the order of the workbook."""
     links = {
         r.attrib["Id"]: r.attrib["Target"]
         for r in ElementTree.fromstring(book.read("xl/_rels/workbook.xml.rels"))
     }
+    parts = {}
     for node in ElementTree.fromstring(book.read("xl/workbook.xml")).iter():
         if _local(node.tag) == "sheet":
             link = next(v for k, v in node.attrib.items() if _local(k) == "id")
             target = links[link]
-            return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
-    raise ValueError("workbook without sheets")
+            parts[node.attrib.get("name", "")] = target.lstrip("/") if target.startswith("/") else f"xl/{target}"
+    if not parts:
+        raise ValueError("workbook without sheets")
+    return parts
 
 
-def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
-    with zipfile.ZipFile(io.BytesIO(content)) as book:
+def sheet_rows(content: bytes | io.IOBase, sheet: str | None = None) -> Iterator[tuple[int, list[str | None]]]:
+    """(row number, cells) of one sheet, the first by default."""
+    with zipfile.ZipFile(io.BytesIO(content) if isinstance(content, bytes) else content) as book:
+        parts = sheet_parts(book)
         shared: list[str] = []
         if "xl/sharedStrings.xml" in book.namelist():
             with book.open("xl/sharedStrings.xml") as part:
@@ -72,7 +78,7 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
                     if _local(node.tag) == "si":
                         shared.append(_text(node))
                         node.clear()
-        with book.open(_first_sheet(book)) as part:
+        with book.open(parts[sheet] if sheet is not None else next(iter(parts.values()))) as part:
             number, parent = 0, None
             for event, node in ElementTree.iterparse(part, ("start", "end")):
                 if event == "start":
@@ -102,7 +108,7 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             rows: list[tuple] = []
-            for number, cells in _sheet_rows(content):
+            for number, cells in sheet_rows(content):
                 rows.append((path, number, cells))
                 if len(rows) == _BATCH_ROWS:
                     yield pd.DataFrame(rows, columns=["path", "sheet_row", "cells"])
@@ -116,7 +122,7 @@ def workbook_cells(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decode, CELL_SCHEMA)
 
 
-def _header_names(cells: Sequence[str | None]) -> list[str]:
+def header_names(cells: Sequence[str | None]) -> list[str]:
     """Blank headers become ``Unnamed: i``, repeated ones get ``.1``, ``.2``."""
     seen: dict[str, int] = {}
     names = []
@@ -146,7 +152,7 @@ def workbook_table(
         ).first()
         if first is None or first != last:
             raise ValueError("the workbooks do not share one header row")
-        columns = _header_names([*first, *[None] * (width - len(first))])
+        columns = header_names([*first, *[None] * (width - len(first))])
     body = cells.where(
         (F.col("sheet_row") > 1) & F.exists("cells", lambda c: c.isNotNull())
     )

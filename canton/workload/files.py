@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -14,11 +15,12 @@ from canton.operators.metrics import METRICS, classification_metrics
 from canton.operators.shaping import check_arity, repair_slot_header, stripped_names, unpivot_slots
 from canton.plans import layouts as L
 from canton.plans.votes import commune_totals, numeric_columns
-from canton.session import scratch_path
+from canton.session import scratch_path, stored_table
 from canton.sources import (
-    export_csv, export_json, read_delimited, read_table, read_wide_votes, sniff_delimiter,
+    export_csv, export_json, read_delimited, read_table, read_wide_votes, read_workbooks, sniff_delimiter,
     with_audit, workbook_table, write_table,
 )
+from canton.sources.workbook_format import open_system, register_workbooks
 from canton.workload.registry import query, sql_pct, table
 from canton.workload.votes import SILVER_SQL, SLOTS, station_rows
 
@@ -265,3 +267,63 @@ def workbook_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("Code").cast("long").alias("order_no"), to_long(F.col("slot")).alias("slot"),
         "candidate", "votes",
     )
+
+
+_BUYERS_SQL = """
+    SELECT CAST(o_custkey % 4 AS VARCHAR) AS book, CAST(o_custkey AS BIGINT) AS buyer, count(*) AS n_orders,
+           CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS spent
+    FROM orders GROUP BY ALL
+"""
+
+
+def _buyers_of(rows: DataFrame) -> DataFrame:
+    long = rows.select(
+        F.element_at(F.split("path", "/"), -2).alias("book"),
+        to_long(F.col("Acheteur")).alias("buyer"),
+        to_long(F.col("Prix")).alias("price"),
+    )
+    return long.groupBy("book", "buyer").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("price").alias("spent"))
+
+
+def _order_books(spark: SparkSession, sf_dir: str) -> str:
+    """A glob of workbook files with all orders, some thousand rows each."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat_ws("/", F.col("o_custkey") % 4, F.floor(F.col("o_orderkey") / (4 * _SHEET_ROWS))).alias("book"),
+        F.col("o_orderkey").cast("string").alias("order"),
+        F.col("o_custkey").cast("string").alias("buyer"),
+        F.floor("o_totalprice").cast("string").alias("price"),
+    )
+    folder = scratch_path(spark, "workbooks")
+    books = pack_sheets(rows, ["N° ordre", "Acheteur", "Prix"], "book")
+    stored_table(books.mapInPandas(_file_writer(folder), "path string"), "workbook-paths")
+    return f"{folder}/*/*.xlsx"
+
+
+@query("workbook_glob", _BUYERS_SQL)
+def workbook_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook files read by format and glob with the header of the first; only the chosen columns are decoded."""
+    register_workbooks(spark)
+    chosen = json.dumps(["Acheteur", "Prix", "path"])
+    return _buyers_of(spark.read.format("workbook").option("select", chosen).load(_order_books(spark, sf_dir)))
+
+
+@query("workbook_discovery", _BUYERS_SQL)
+def workbook_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files through Spark's own file reader, with a shared header row."""
+    return _buyers_of(read_workbooks(spark, _order_books(spark, sf_dir), keep_path=True))
+
+
+def _file_writer(folder: str):
+    """Write packed workbooks under ``folder`` as book/part.xlsx, from the tasks."""
+
+    def write(batches):
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                fs, base = open_system(folder)
+                target = f"{base}/{path}.xlsx"
+                fs.create_dir(target.rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(target) as out:
+                    out.write(content)
+            yield pd.DataFrame({"path": batch["path"]})
+
+    return write
