@@ -8,6 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from canton.sources.literal import literal_table
+from canton.sources.sinks import write_table
+
 _ORDERED = 10_000  # distinct values that are ordered on the driver at most
 
 
@@ -64,6 +67,24 @@ def row_checks(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def checked_write(df: DataFrame, path: str, rules: Sequence[Rule], **options) -> DataFrame:
+    """Write ``df`` as a table and return the report of ``row_checks`` on it.
+
+    The counts are taken by the tasks that write, so the rows are not read
+    again; the report is a few literal rows.
+    """
+    counts = {"checked": F.count(F.lit(1))} | {f"f{i}": F.count_if(r.broken) for i, r in enumerate(rules)}
+    found = write_table(df, path, metrics=counts, **options)
+    rows = [(r.name, r.critical, found["checked"], found[f"f{i}"]) for i, r in enumerate(rules)]
+    return literal_table(df.sparkSession, ["check_name", "critical", "checked", "failed"], rows)
+
+
+def merged_reports(*reports: DataFrame) -> DataFrame:
+    """Reports of the same rules on parts of a table as the report on the whole."""
+    both = reduce(DataFrame.unionByName, reports)
+    return both.groupBy("check_name", "critical").agg(F.sum("checked").alias("checked"), F.sum("failed").alias("failed"))
+
+
 def unique_check(
     df: DataFrame, keys: Sequence[str], name: str, critical: bool = True
 ) -> DataFrame:
@@ -115,7 +136,12 @@ def run_checks(
     df: DataFrame, rules: Sequence[Rule], *more: DataFrame
 ) -> DataFrame:
     """One report: (check_name, critical, checked, failed)."""
-    return reduce(DataFrame.unionByName, more, row_checks(df, rules))
+    return join_reports(row_checks(df, rules), *more)
+
+
+def join_reports(*reports: DataFrame) -> DataFrame:
+    """Reports of different rules as one."""
+    return reduce(DataFrame.unionByName, reports)
 
 
 class QualityError(RuntimeError):

@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from canton.operators.quality import (
-    cascade, ceiling_check, enforce, not_negative, reference_check, run_checks, unique_check,
-    within_percent,
+    Rule, cascade, ceiling_check, checked_write, enforce, join_reports, merged_reports, not_negative,
+    reference_check, row_checks, unique_check, within_percent,
 )
 from canton.operators.shaping import (
     check_arity, filter_area, find_column, repair_slot_header, stripped_names,
@@ -104,14 +104,23 @@ def bronze_reference(
     return with_audit(df, url, ingested_at)
 
 
-def vote_report(silver: DataFrame, star: VoteStar) -> DataFrame:
-    """The agreed checks on a vote table and its star."""
+def vote_rules() -> list[Rule]:
+    """The agreed row-level rules of a silver vote table."""
+    shares = [within_percent(c) for c in (*L.TURNOUT_SHARES, *L.VOTE_SHARES)]
+    counts = [not_negative(c) for c in (*L.COUNTS, "voix")]
+    return [cascade("inscrits", "votants", "exprimes"), *shares, *counts]
+
+
+def vote_report(silver: DataFrame, star: VoteStar, row_report: DataFrame | None = None) -> DataFrame:
+    """The agreed checks on a vote table and its star.
+
+    ``row_report`` holds the row-level rules where they were counted while
+    ``silver`` was written.
+    """
     commune = ["code_departement", "code_commune", "libelle_commune", *L.ELECTION_KEYS]
-    rules = [within_percent(c) for c in (*L.TURNOUT_SHARES, *L.VOTE_SHARES)]
-    rules += [not_negative(c) for c in (*L.COUNTS, "voix")]
-    return run_checks(
-        silver,
-        [cascade("inscrits", "votants", "exprimes"), *rules],
+    rows = row_checks(silver, vote_rules()) if row_report is None else row_report
+    return join_reports(
+        rows,
         ceiling_check(silver, commune, "voix", "exprimes", "voix_le_exprimes"),
         unique_check(star.dim_commune, ["id_commune"], "dim_commune_unique"),
         unique_check(star.dim_election, ["id_election"], "dim_election_unique"),
@@ -138,6 +147,7 @@ def build_votes(
     staged, what was staged is checked, and only then published: critical
     quality failures stop the run after the report is written.
     """
+    checked = []
     for source in sources:
         bronze, silver = (f"{out}/{layer}/votes/{source.name}" for layer in ("bronze", "silver"))
         write_table(bronze_votes(spark, source, area, loaded_at), bronze)
@@ -145,11 +155,11 @@ def build_votes(
             read_table(spark, bronze), reference, source.name, (source.year, source.round),
             loaded_at, reference_on, order=reference_order,
         )
-        write_table(rows, silver)
+        checked.append(checked_write(rows, silver, vote_rules()))
     votes = read_table(spark, [f"{out}/silver/votes/{s.name}" for s in sources])
     build_star(votes, loaded_at).save(f"{out}/staging/votes")
     star = _stored_star(spark, f"{out}/staging/votes")
-    report = durable(vote_report(votes, star))
+    report = durable(vote_report(votes, star, merged_reports(*checked)))
     export_json(report, f"{out}/quality/votes")
     enforce(report)
     star.save(f"{out}/gold/votes")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from canton.functions.times import iso_text
 
@@ -34,21 +34,32 @@ def write_table(
     path: str,
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
-) -> None:
-    """Parquet table, replaced as a whole.
+    metrics: Mapping[str, Column] | None = None,
+    only_present: bool = False,
+) -> dict[str, object]:
+    """Parquet table, replaced as a whole; returns ``metrics`` of the rows written.
 
     A partitioned write is rebalanced first: each task then holds few partition
     values (no small-file explosion), and adaptive execution splits a
-    partition value that is too big for one task.
+    partition value that is too big for one task. ``metrics`` are aggregates
+    that the writing tasks collect on the way, after every shuffle: a task that
+    is run again counts once. ``only_present`` replaces the partitions that
+    ``df`` has rows for and leaves the others alone.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
+    watch = Observation() if metrics else None
+    if watch:
+        df = df.observe(watch, *[value.alias(name) for name, value in metrics.items()])
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if only_present:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
+    return dict(watch.get) if watch else {}
 
 
 def read_table(spark: SparkSession, path: str | Sequence[str], schema=None) -> DataFrame:

@@ -13,6 +13,7 @@ from canton.plans import layouts as L
 from canton.plans.medallion import DEPARTMENT_WORDS
 from canton.plans.votes import silver_votes
 from canton.session import scratch_path
+from canton.sources.ledger import Ledger, folder_name
 from canton.sources import export_csv, export_json, read_delimited, read_wide_votes
 from canton.workload.registry import query, table
 from canton.workload.votes import REFRESHED, SILVER_SQL, SOURCE, bronze_votes, candidate_reference
@@ -150,3 +151,45 @@ def enforced_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = stored.select(F.lit(name).alias("report"), "*", F.lit(stopped).alias("stopped"))
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+_RELOADED_SQL = """
+    SELECT year(o_orderdate) AS landed_year, o_custkey % 10 AS buyers, count(*) AS n_orders,
+           CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS spent
+    FROM orders
+    WHERE year(o_orderdate) <> 1998 AND NOT (year(o_orderdate) = 1996 AND o_orderkey % 2 = 1)
+    GROUP BY ALL
+"""
+
+
+@query("reloaded_files", _RELOADED_SQL)
+def reloaded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed by year, loaded twice, then once more after corrections.
+
+    1996 loses its odd orders, 1998 all of them; the other years are not read again.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("year"), "o_orderkey", "o_custkey", F.floor("o_totalprice").alias("price")
+    )
+    landed, path = scratch_path(spark, "landed"), scratch_path(spark, "loaded")
+    ledger = Ledger(path, folder_name)
+    schema = "o_orderkey long, o_custkey long, price long"
+
+    def land(rows: DataFrame) -> None:
+        write_csv = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        write_csv.partitionBy("year").option("header", True).csv(landed)
+
+    def load() -> int:
+        return ledger.load(spark, f"{landed}/*/*.csv", lambda paths: spark.read.schema(schema).option("header", True).csv(paths))
+
+    land(orders)
+    load()
+    load()
+    corrected = orders.where("year = 1996 AND o_orderkey % 2 = 0")
+    emptied = spark.createDataFrame([(1998, None, None, None)], f"year int, {schema}")
+    land(corrected.unionByName(emptied))
+    load()
+    rows = ledger.table(spark).where("o_orderkey IS NOT NULL")
+    return rows.groupBy(
+        F.replace("landed_unit", F.lit("year="), F.lit("")).cast("long").alias("landed_year"), (F.col("o_custkey") % 10).alias("buyers")
+    ).agg(F.count(F.lit(1)).alias("n_orders"), F.sum("price").alias("spent"))

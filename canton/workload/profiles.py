@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from canton.functions import half_even
 from canton.operators.aggregates import null_report, profile, sorted_values
 from canton.operators.quality import (
-    Rule, cascade, ceiling_check, fill_median, fill_unknown, not_negative, positive,
-    reference_check, run_checks, unique_check, within_percent,
+    Rule, cascade, ceiling_check, checked_write, fill_median, fill_unknown, join_reports, merged_reports,
+    not_negative, positive, reference_check, run_checks, unique_check, within_percent,
 )
+from canton.session import scratch_path
+from canton.sources.sinks import read_table
 from canton.workload.registry import query, table
 from canton.workload.votes import SILVER_SQL, silver_table
 
@@ -106,9 +108,7 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "vote_quality",
-    f"""
+_VOTE_QUALITY_SQL = f"""
     WITH {SILVER_SQL},
     g AS (SELECT code_departement, code_commune, libelle_commune, annee_election, tour, sum(voix) AS v, max(exprimes) AS top
           FROM votes GROUP BY ALL)
@@ -118,8 +118,10 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
            count(*) FILTER (WHERE inscrits < votants OR votants < exprimes) FROM votes
     UNION ALL SELECT 'voix_not_negative', false, count(*), count(*) FILTER (WHERE voix < 0) FROM votes
     UNION ALL SELECT 'voix_le_exprimes', true, count(*), count(*) FILTER (WHERE v > top) FROM g
-    """,
-)
+    """
+
+
+@query("vote_quality", _VOTE_QUALITY_SQL)
 def vote_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes = silver_table(spark, sf_dir)
     commune = ["code_departement", "code_commune", "libelle_commune", "annee_election", "tour"]
@@ -130,6 +132,23 @@ def vote_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("observed_quality", _VOTE_QUALITY_SQL)
+def observed_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report with the row rules counted by the tasks that write the silver votes, in two halves."""
+    rules = [within_percent("pct_vot_ins"), cascade("inscrits", "votants", "exprimes"), not_negative("voix")]
+    votes, path = silver_table(spark, sf_dir), scratch_path(spark, "silver")
+    early = F.col("annee_election") < 1998
+    reports = [
+        checked_write(votes.where(half), f"{path}/{name}", rules)
+        for name, half in (("early", early), ("late", ~early))
+    ]
+    stored = read_table(spark, [f"{path}/early", f"{path}/late"])
+    commune = ["code_departement", "code_commune", "libelle_commune", "annee_election", "tour"]
+    return join_reports(
+        merged_reports(*reports), ceiling_check(stored, commune, "voix", "exprimes", "voix_le_exprimes")
+    )
+
+
 @query(
     "null_policy",
     """
