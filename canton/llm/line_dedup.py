@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canton.session import broadcast_if_small as small, stored_table as stored
 
@@ -23,6 +23,8 @@ LONG = 96  # words from which a set has the larger sketch
 HOT = 32  # sets with a common word in their prefixes that meet their earliest first
 GAIN = 0.2  # of the sets removed so far that a round must remove for another one
 
+TURNS = ("turn = 1", "turn BETWEEN 2 AND 4", "turn BETWEEN 5 AND 16", "turn > 16")  # of a set's candidates
+
 _LAST = (1 << 63) - 1
 _KEY = ["k1", "k2"]
 _PLACE = ["d", "h", "no"]
@@ -127,9 +129,27 @@ def _passes(similarity: float, positions: bool) -> Column:
 
 
 def _beaten(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Keys of the later sets of the pairs (``a``, ``b``, by k1) whose words are similar enough."""
-    pairs = stored(pairs.select(F.col("a.k1").alias("a_k1"), F.col("b.k1").alias("b_k1")).distinct(), "pairs")
-    ends = stored(pairs.select(F.explode(F.array("a_k1", "b_k1")).alias("k1")).distinct(), "ends")
+    """Keys of the later sets of the pairs (``a``, ``b``, by k1) whose words are similar enough.
+
+    Each set is verified against its earliest candidate first; those it loses
+    to leave, and only the others go on to their next ones: a set that many
+    earlier ones resemble is compared with one or a few of them.
+    """
+    pairs = pairs.select(
+        F.col("a.k1").alias("a_k1"), F.col("b.k1").alias("b_k1"), F.col("a.d").alias("a_d"), F.col("b.d").alias("b_d")
+    ).distinct()
+    pairs = pairs.select(
+        "a_k1", "b_k1",
+        F.least("a_d", "b_d").alias("d"),
+        # NULL within one document, where the line numbers decide: such pairs are all verified at once.
+        F.when(F.col("a_d") < F.col("b_d"), F.col("b_k1")).when(F.col("a_d") > F.col("b_d"), F.col("a_k1")).alias("k1"),
+    )
+    turn = F.row_number().over(Window.partitionBy("k1").orderBy("d", "a_k1", "b_k1"))
+    pairs = stored(
+        pairs.where("k1 IS NOT NULL").withColumn("turn", turn).unionByName(pairs.where("k1 IS NULL").withColumn("turn", F.lit(1))),
+        "pairs",
+    )
+    ends = stored(pairs.select(F.col("a_k1").alias("k1")).union(pairs.select("b_k1")).distinct(), "ends")
     places = stored(classes.select(*_KEY, *_PLACE).join(_small(ends), "k1"), "places")
     wanted = places.groupBy("d", "h").agg(F.collect_list(F.struct("no", *_KEY)).alias("sets"))
     if places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
@@ -150,11 +170,22 @@ def _beaten(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: f
     side = lambda s: words.select(
         F.col("k1").alias(f"{s}_k1"), F.struct("place", "key").alias(f"{s}_set"), F.col("words").alias(s)
     )
-    both = pairs.join(side("a"), "a_k1").join(side("b"), "b_k1")
     shared = F.size(F.array_intersect("a", "b"))
     alike = shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9
     later = F.greatest("a_set", "b_set")
-    return both.where(alike).select(later["key"]["k1"].alias("k1"), later["key"]["k2"].alias("k2")).distinct()
+    beaten = []
+    for now in TURNS:
+        todo = pairs.where(now)
+        if not todo.limit(1).count():
+            break  # no set has so many candidates
+        for gone in beaten:
+            todo = todo.join(_small(gone), "k1", "left_anti")
+        both = todo.drop("k1").join(side("a"), "a_k1").join(side("b"), "b_k1")
+        lost = both.where(alike).select(later["key"]["k1"].alias("k1"), later["key"]["k2"].alias("k2")).distinct()
+        beaten.append(stored(lost, "lost"))
+    if not beaten:
+        return classes.select(*_KEY).limit(0)
+    return reduce(DataFrame.unionByName, beaten).distinct()
 
 
 def first_lines(docs: DataFrame, similarity: float) -> DataFrame:
