@@ -8,7 +8,8 @@ from canton.functions import count_or_fail, to_long
 from canton.operators.quality import (
     QualityError, Rule, enforce, not_negative, positive, run_checks, unique_check,
 )
-from canton.operators.shaping import filter_area, find_column, rename_positional
+from canton.functions.text import zfill
+from canton.operators.shaping import conform_area, filter_area, find_column, rename_positional
 from canton.plans import layouts as L
 from canton.plans.medallion import DEPARTMENT_WORDS
 from canton.plans.votes import silver_votes
@@ -63,11 +64,11 @@ def typed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS dep, CAST(s_suppkey AS VARCHAR) AS code,
            s_name AS nom_1, '€ ' || s_suppkey AS voix_1
-    FROM supplier WHERE s_nationkey BETWEEN 1 AND 9
+    FROM supplier
     """,
 )
 def header_line_as_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every file starts with a header line that is read as a row; the area filters drop it."""
+    """Every file starts with a header line that is read as a row; it names no known area and drops out."""
     path = scratch_path(spark, "suppliers")
     suppliers = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit(" "), F.col("s_nationkey").cast("string")).alias("Code du departement"),
@@ -77,11 +78,8 @@ def header_line_as_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers.write.options(sep=";", header=True, encoding="ISO-8859-1", ignoreLeadingWhiteSpace=False).csv(path)
     wide = read_wide_votes(spark, path, ["dep", "code"], ["nom", "voix"], 1, header=False)
     column = find_column(wide, ["dep"])
-    areas = [filter_area(wide, column, f"{n:02d}") for n in range(1, 10)]
-    out = areas[0]
-    for a in areas[1:]:
-        out = out.unionByName(a)
-    return out
+    known = table(spark, sf_dir, "nation").select(zfill(F.col("n_nationkey").cast("string"), 2).alias(column))
+    return wide.withColumn(column, conform_area(F.col(column))).join(known, column, "left_semi").select(*wide.columns)
 
 
 @query(
