@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canton.functions.text import slugify
 from canton.session import stored_table
@@ -18,6 +18,7 @@ from canton.session import stored_table
 # Words that tell no two places apart.
 COMMON_WORDS = ("d", "de", "des", "du", "en", "et", "l", "la", "le", "les", "saint", "sainte", "sous", "sur")
 WEIGHT = 1_000_000  # of a word that one unit holds; whole numbers add up alike in any order
+SUBSET_WORDS = 8  # of a name whose 255 subsets are looked up
 
 _BLOCK = ["step", "area"]
 
@@ -48,28 +49,86 @@ def unit_changes(units: DataFrame) -> DataFrame:
     )
 
 
-def _words(rows: DataFrame, common: Sequence[str]) -> DataFrame:
-    listed = F.array_except(F.array_distinct(F.split(slugify(F.col("name")), "_")), F.array(*map(F.lit, common)))
-    return rows.select(*_BLOCK, "key", "size", F.explode(listed).alias("word")).where("word <> ''")
+def _named(rows: DataFrame, common: Sequence[str]) -> DataFrame:
+    """Units with the sorted set of words of their name; those without words are left out."""
+    listed = F.array_except(F.split(slugify(F.col("name")), "_"), F.array(*map(F.lit, ["", *common])))
+    return rows.select(*_BLOCK, "key", "size", F.array_sort(listed).alias("words")).where(F.size("words") > 0)
+
+
+def _subsets(entries: Column) -> Column:
+    """All non-empty subsets of sorted (word, weight) entries as (words, score)."""
+    none = F.array(F.struct(F.array().cast("array<string>").alias("subset"), F.lit(0).cast("long").alias("score")))
+    grown = F.aggregate(
+        entries, none,
+        lambda found, e: F.concat(found, F.transform(found, lambda s: F.struct(
+            F.concat(s["subset"], F.array(e["word"])).alias("subset"), (s["score"] + e["weight"]).alias("score")
+        ))),
+    )
+    return F.slice(grown, 2, F.size(grown))
 
 
 def _by_name(gone: DataFrame, new: DataFrame, common: Sequence[str], slack: float) -> DataFrame:
-    """The new unit that shares the rarest words with each vanished one, if any."""
-    a, b = stored_table(_words(gone, common), "words"), stored_table(_words(new, common), "words")
-    holders = (
-        a.unionByName(b).groupBy(*_BLOCK, "word").agg(F.expr(f"{WEIGHT} DIV count(*)").alias("weight"))
+    """The new unit that shares the rarest words with each vanished one, if any.
+
+    Units of one area and set of words differ in size only, and the largest new
+    one stands for all of them. No pairs of sets are built either: of all new
+    sets that hold some words the largest unit counts, and a vanished set looks
+    up each subset of its words. The unit with the best weight is what its own
+    shared words find, and no other finds more than it shares. Only a name of
+    more than ``SUBSET_WORDS`` words that both sides hold meets other sets word
+    by word.
+    """
+    a, b = _named(gone, common), _named(new, common)
+    units = a.withColumn("late", F.lit(False)).unionByName(b.withColumn("late", F.lit(True)))
+    top = F.min(F.when(F.col("late"), F.struct((-F.col("size")).alias("small"), F.col("key").alias("to_key"))))
+    sets = stored_table(
+        units.groupBy(*_BLOCK, "words").agg(F.count_if("late").alias("n_new"), F.count_if(~F.col("late")).alias("n_gone"), top.alias("top")),
+        "name-sets",
     )
-    right = b.select(*_BLOCK, "word", F.col("key").alias("to_key"), F.col("size").alias("to_size"))
-    met = (
-        a.join(right, [*_BLOCK, "word"])
-        .where(F.col("size") <= F.col("to_size") * (1 + slack))
-        .join(holders, [*_BLOCK, "word"])
-        .groupBy(*_BLOCK, "key", "to_key")
-        .agg(F.sum("weight").alias("score"), F.max("to_size").alias("to_size"))
+    exploded = sets.withColumn("word", F.explode("words"))
+    weights = (
+        exploded.groupBy(*_BLOCK, "word")
+        .agg(F.expr(f"{WEIGHT} DIV (sum(n_new) + sum(n_gone))").alias("weight"), F.sum("n_new").alias("late"), F.sum("n_gone").alias("early"))
+        .where("late > 0 AND early > 0")
+        .drop("late", "early")
     )
-    best = F.min(F.struct((-F.col("score")).alias("rank"), (-F.col("to_size")).alias("small"), "to_key"))
-    return met.groupBy(*_BLOCK, "key").agg(best.alias("best")).select(
-        *_BLOCK, "key", F.col("best.to_key").alias("to_key"), (-F.col("best.rank")).alias("score")
+    met = stored_table(
+        exploded.join(weights, [*_BLOCK, "word"])
+        .groupBy(*_BLOCK, "words")
+        .agg(F.array_sort(F.collect_list(F.struct("word", "weight"))).alias("entries"), F.first("top").alias("top"),
+             F.max("n_gone").alias("n_gone")),
+        "shared-words",
+    )
+    early, late = met.where("n_gone > 0").drop("top"), met.where("top IS NOT NULL").drop("n_gone")
+    few = F.size("entries") <= SUBSET_WORDS
+    offers = (
+        late.where(few)
+        .select(*_BLOCK, "top", F.inline(_subsets(F.col("entries"))))
+        .groupBy(*_BLOCK, "subset")
+        .agg(F.min("top").alias("top"))
+    )
+    found = early.where(few).select(*_BLOCK, "words", F.inline(_subsets(F.col("entries")))).join(offers, [*_BLOCK, "subset"])
+
+    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+        left = left.select(*_BLOCK, "words", F.inline("entries"))
+        right = right.select(*_BLOCK, "top", F.explode("entries.word").alias("word"))
+        return left.join(right, [*_BLOCK, "word"]).groupBy(*_BLOCK, "words", "top").agg(F.sum("weight").alias("score"))
+
+    choice = F.struct((-F.col("score")).alias("rank"), "top.small", "top.to_key").alias("choice")
+    columns = [*_BLOCK, "words", choice]
+    choices = (
+        found.select(*columns)
+        .unionByName(paired(early.where(~few), late).select(*columns))
+        .unionByName(paired(early.where(few), late.where(~few)).select(*columns))
+        .groupBy(*_BLOCK, "words")
+        .agg(F.array_sort(F.collect_set("choice")).alias("choices"))
+    )
+    fits = F.filter("choices", lambda c: F.col("size") <= -c["small"] * (1 + slack))
+    return (
+        a.join(choices, [*_BLOCK, "words"])
+        .select(*_BLOCK, "key", F.get(fits, F.lit(0)).alias("best"))
+        .where("best IS NOT NULL")
+        .select(*_BLOCK, "key", F.col("best.to_key").alias("to_key"), (-F.col("best.rank")).alias("score"))
     )
 
 

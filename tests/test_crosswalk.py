@@ -1,9 +1,11 @@
 """Merged units between periods."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from canton.plans.votes import commune_units
-from canton.operators.crosswalk import carried_forward, latest_units, merge_links, unit_changes
+from canton.operators.crosswalk import COMMON_WORDS, WEIGHT, _by_name, carried_forward, latest_units, merge_links, unit_changes
 
 UNITS = "period int, area string, key string, name string, size long, votes long"
 
@@ -95,3 +97,51 @@ def test_units_of_silver_votes(spark, rows):
     units = commune_units(votes)
     assert rows(units) == [(20172, "69", "001", "Bel", 9), (20222, "69", "002", "Bel-en-Val", 12)]
     assert rows(merge_links(units), "key", "to_key", "method") == [("001", "002", "name")]
+
+
+def _joined_rows(plan) -> int:
+    """Rows that the joins of an executed plan gave."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _joined_rows(plan.executedPlan())
+    if "QueryStage" in name:
+        return _joined_rows(plan.plan())
+    metric = plan.metrics().get("numOutputRows") if "Join" in name else None
+    children = plan.children()
+    own = metric.get().value() if metric is not None and metric.isDefined() else 0
+    return own + sum(_joined_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_names_that_many_units_share_make_no_pairs(spark):
+    rows = [(p, "x", f"{p}-{i}", f"Val Mont {i % 7}", 100 + i, 1) for p in (1, 2) for i in range(400)]
+    units = spark.createDataFrame(rows, UNITS).withColumnRenamed("period", "step")
+    named = _by_name(units.where("step = 1").withColumn("step", F.lit(2)), units.where("step = 2"), COMMON_WORDS, 0.1)
+    assert len(named.collect()) == 400
+    assert _joined_rows(named._jdf.queryExecution().executedPlan()) < 4_000
+
+
+def test_names_against_brute_force(spark):
+    draw = random.Random(7)
+    words = ["a", "b", "c", "dd", "ee", "ff"]
+    longer = [f"w{i}" for i in range(12)]
+
+    def unit(period, i):
+        pool = longer if draw.random() < 0.2 else words
+        name = " ".join(draw.sample(pool, draw.randint(1, len(pool)))) if draw.random() < 0.95 else None
+        return (period, draw.choice("xy"), f"{period}-{i:02}", name, draw.choice((5, 9, 10, 20, 40)), 1)
+
+    rows = [unit(p, i) for p in (1, 2) for i in range(60)]
+    want = {}
+    for area in "xy":
+        sets = {r[2]: set((r[3] or "").split()) for r in rows if r[1] == area}
+        weight = {w: WEIGHT // sum(w in s for s in sets.values()) for w in (*words, *longer) if any(w in s for s in sets.values())}
+        for g in (r for r in rows if r[0] == 1 and r[1] == area):
+            found = [
+                (-sum(weight[w] for w in sets[g[2]] & sets[n[2]]), -n[4], n[2])
+                for n in rows
+                if n[0] == 2 and n[1] == area and sets[g[2]] & sets[n[2]] and g[4] <= n[4] * (1 + 0.1)
+            ]
+            if found:
+                want[g[2]] = (min(found)[2], -min(found)[0])
+    got = merge_links(spark.createDataFrame(rows, UNITS)).where("method = 'name'").collect()
+    assert {r["key"]: (r["to_key"], r["score"]) for r in got} == want
