@@ -17,6 +17,7 @@ _NUMBER = (
     r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 )
 _DIGITS = r"^\s*[+-]?\d+\s*$"
+_PLAIN = r"^\d{1,18}$"
 _COUNT = r"^([+-]?\d+)(?:[.,]0*)?$"
 
 
@@ -60,14 +61,16 @@ def to_long(c: Column, default: int | None = None, decimal_comma: bool = False)
 
 def count_or_fail(c: Column) -> Column:
     """A whole number, also as "12.0" or "12,0"; other text fails the job, NULL stays NULL."""
-    text = strip(c.cast("string"))
-    digits = F.regexp_extract(text, _COUNT, 1)
-    parsed = F.when(F.rlike(text, F.lit(_DIGITS)), text.try_cast("long")).otherwise(
-        F.when(digits != "", digits.try_cast("long"))
-    )
+    text = c.cast("string")
+    # Plain digits, as most texts are, need neither trimming nor groups. The rest
+    # is one expression: a dozen counts have to fit into one compiled method.
+    other = F.regexp_extract(strip(text), _COUNT, 1).try_cast("long")
     failed = F.raise_error(F.concat(F.lit("no whole number: "), text)).cast("long")
-    value = F.when(F.typeof(c) == "bigint", c.try_cast("long")).otherwise(parsed)
-    return F.when(c.isNotNull(), F.coalesce(value, failed))
+    return (
+        F.when(F.typeof(c) == "bigint", c.try_cast("long"))
+        .when(F.rlike(text, F.lit(_PLAIN)), text.cast("long"))
+        .when(c.isNotNull(), F.coalesce(other, failed))
+    )
 
 
 def double_columns(df: DataFrame, names, default: float | None = None) -> list[Column]:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canton.functions import (
     code_text, count_or_fail, decimal_point, half_even, iso_text, pct, strip, to_double, to_long,
     whole,
 )
-from canton.operators.aggregates import first_and_sum, keep_first, vote_shares, vote_totals
+from canton.operators.aggregates import first_and_sum, keep_first, vote_totals
 from canton.operators.quality import Rule
 from canton.operators.shaping import matching_columns, slot_count, unpivot_slots
 from canton.plans import layouts as L
@@ -30,7 +31,10 @@ def numeric_columns(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
 
 def _counts(c: str, strict: bool) -> Column:
     """A count; ``strict`` fails on text that is no whole number, else it is NULL."""
-    value = F.col(f"`{c}`")
+    return _count(F.col(f"`{c}`"), strict)
+
+
+def _count(value: Column, strict: bool) -> Column:
     return count_or_fail(value) if strict else to_long(value, decimal_comma=True)
 
 
@@ -73,6 +77,47 @@ def candidate_votes(
     return vote_totals(rows, [*keys.values(), *candidate], ["voix"])
 
 
+def ballot_totals(
+    bronze: DataFrame, keys: Mapping[str, str], slots: int | None = None, strict: bool = True
+) -> DataFrame:
+    """Votes per key and candidate beside the counts of the key, from one pass over the stations.
+
+    Stations of a key with the same ballot (the candidates of all slots) are
+    added up as wide rows, and only these are unpivoted: the stations are
+    neither read twice nor multiplied by their slots before the shuffle.
+    Equals ``candidate_votes`` joined to the counts of ``commune_totals``.
+    """
+    n = slots or slot_count(bronze.columns, list(L.SLOT_FIELDS))
+    names, range_ = list(keys.values()), range(1, n + 1)
+    ballot = {src: out for src, out in L.SLOT_FIELDS.items() if out != "voix"}
+
+    def listed(k: int) -> Column:  # a slot that names no candidate counts nothing, whatever its votes
+        return reduce(lambda a, b: a & b, [F.col(f"`{src}_{k}`").isNotNull() for src in ballot])
+
+    # Counts are read as one array: an expression for each would make the
+    # generated method too large to be compiled.
+    texts = [F.col(f"`{src}`").cast("string") for src in L.COUNT_FIELDS]
+    texts += [F.when(listed(k), F.col(f"`Voix_{k}`").cast("string")) for k in range_]
+    stations = bronze.dropna(subset=[f"`{src}`" for src in keys]).select(
+        *[F.col(f"`{src}`").alias(out) for src, out in keys.items()],
+        *[F.col(f"`{src}_{k}`").alias(f"{out}_{k}") for src, out in ballot.items() for k in range_],
+        F.transform(F.array(*texts), lambda text: _count(text, strict)).alias("numbers"),
+    )
+    identity = [f"{out}_{k}" for out in ballot.values() for k in range_]
+    measures = [*L.COUNTS, *[f"voix_{k}" for k in range_]]
+    ballots = stations.groupBy(*names, *identity).agg(
+        *[F.sum(F.get("numbers", F.lit(i))).alias(m) for i, m in enumerate(measures)]
+    )
+    same_key = Window.partitionBy(*names)
+    counted = ballots.withColumns({c: F.sum(c).over(same_key) for c in L.COUNTS})
+    rows = unpivot_slots(counted, [*names, *L.COUNTS], list(L.SLOT_FIELDS.values()), n)
+    return (
+        rows.dropna(subset=list(ballot.values()))
+        .groupBy(*names, *L.COUNTS, *ballot.values())
+        .agg(F.sum("voix").alias("voix"))
+    )
+
+
 def with_election(df: DataFrame, year: int, round_: int) -> DataFrame:
     return df.withColumns(
         {"annee_election": F.lit(year).cast("long"), "tour": F.lit(round_).cast("long")}
@@ -158,10 +203,10 @@ def silver_votes(
     keys = dict(L.AREA_FIELDS)
     if election is None:
         keys |= {c: c for c in L.ELECTION_KEYS}
-    totals = commune_totals(bronze, keys, strict)
-    items = candidate_votes(bronze, keys, slots, strict)
-    shares = {n: (base, guard) for n, (_, base, guard) in L.VOTE_SHARES.items()}
-    rows = vote_shares(items, totals, list(keys.values()), "voix", shares)
+    shares = {**L.TURNOUT_SHARES, **L.VOTE_SHARES}
+    rows = ballot_totals(bronze, keys, slots, strict).withColumns(
+        {name: pct(F.col(a), F.col(b), guard) for name, (a, b, guard) in shares.items()}
+    )
     if election is not None:
         rows = with_election(rows, *election)
     first = file_order() if order is None else order

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from canton.operators.scaling import Scaler
 from canton.session import stored_table
 from canton.plans.stars import build_safety_star, build_star
 from canton.plans.votes import (
-    enrich, numeric_columns, readable_counts, silver_votes, stations_to_communes, versus,
+    ballot_totals, candidate_votes, commune_totals, enrich, numeric_columns, readable_counts, silver_votes, stations_to_communes, versus,
 )
 from canton.sources import file_order, literal_table, read_delimited, read_wide_votes
 
@@ -327,3 +329,37 @@ def test_odd_feature_names(spark):
     assert run.predictions.where("predicted_proba IS NULL").count() == 0 and run.features == tuple(names)
     scaler = Scaler(("a.b",), (0.0,), (float("inf"),))
     assert {r[0] for r in scaler.transform(df).select("`a.b`").collect()} == {0.0}
+
+
+def test_silver_reads_the_stations_once(spark, bronze, reference, rows):
+    silver = silver_votes(bronze, reference, "x", (2017, 1), on=ON)
+    plan = silver._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("relation [code du département") == 1
+
+
+def test_ballots_equal_candidates_beside_totals(spark, bronze, rows):
+    """Ballots that change between stations, blank slots and their odd votes."""
+    other = bronze.where("`Code du b.vote` = '2'").withColumns(
+        {"Nom_1": F.lit("AUTRE"), "N°Panneau_2": F.lit(None).cast("string"), "Voix_2": F.lit("not counted")}
+    )
+    both = bronze.unionByName(other).unionByName(bronze.withColumn("Code de la commune", F.lit(None).cast("string")))
+    keys, names = dict(L.AREA_FIELDS), list(L.AREA_FIELDS.values())
+    items, totals = candidate_votes(both, keys), commune_totals(both, keys)
+    want = items.join(totals, names).select(*names, *L.COUNTS, "numero_panneau", "sexe", "nom", "prenom", "voix")
+    assert rows(ballot_totals(both, keys).select(*want.columns)) == rows(want)
+    assert {r["nom"] for r in want.collect()} == {" LE PEN", "MACRON", "AUTRE"}
+
+
+def test_counts_of_a_ballot_leave_the_stage_compiled(spark):
+    """The JVM interprets a generated method of more than 8,000 bytes."""
+    import __spark_entry__ as contract
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = contract.queries()["silver_votes"](spark, "/root/testdata/sf0.001")
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8_000
