@@ -80,7 +80,8 @@ def wide_file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.translate(F.col(f"`{c}`"), "€œ", "\x80\x9c").alias(f"c{i}") for i, c in enumerate([*common, *slots])]
     )
     path = scratch_path(spark, "wide-votes")
-    encoded.write.options(sep=";", header=True, encoding="ISO-8859-1").csv(path)
+    # Most of the wide text repeats; a compressed part is one task's, read by one task.
+    encoded.write.options(sep=";", header=True, encoding="ISO-8859-1", compression="gzip").csv(path)
     wide = read_wide_votes(spark, path, common, fields, SLOTS)
     area = {k: v for k, v in L.AREA_FIELDS.items() if "commune" in v}
     return commune_totals(wide, area).select(

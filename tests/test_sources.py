@@ -1,4 +1,5 @@
 import zipfile
+from pathlib import Path
 from io import BytesIO
 
 import pytest
@@ -177,3 +178,15 @@ def test_name_helpers(spark):
     assert clean_name(" Vols d'arme-x ") == "vols_d_arme_x"
     with pytest.raises(ValueError):
         check_arity(df, ["a"])
+
+
+def test_station_text_is_written_compressed(spark):
+    import __spark_entry__ as contract
+    from canton.session import shared_dir
+
+    base = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(base.glob("wide-votes-*"))
+    contract.queries()["wide_file_roundtrip"](spark, "/root/testdata/sf0.001")
+    (written,) = set(base.glob("wide-votes-*")) - before
+    parts = [f.name for f in written.iterdir() if f.name.startswith("part-")]
+    assert parts and all(name.endswith(".csv.gz") for name in parts)
