@@ -194,9 +194,10 @@ def _letters(index: int) -> str:
 def pack_workbook(rows: list[list[str | None]]) -> bytes:
     """A minimal workbook with one sheet of inline texts."""
     sheet = ['<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>']
+    letters = [_letters(i) for i in range(max(map(len, rows), default=0))]
     for number, row in enumerate(rows, 1):
         cells = "".join(
-            f'<c r="{_letters(i)}{number}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
+            f'<c r="{letters[i]}{number}" t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
             for i, v in enumerate(row)
             if v is not None
         )
@@ -215,7 +216,8 @@ def pack_sheets(df: DataFrame, header: list[str | None], book: str) -> DataFrame
     columns = [c for c in df.columns if c != book]
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [[None if pd.isna(v) else v for v in r] for r in pdf[columns].itertuples(index=False)]
+        cells = pdf[columns].astype(object)
+        rows = cells.where(cells.notna(), None).values.tolist()
         return pd.DataFrame({"path": [str(pdf[book].iloc[0])], "content": [pack_workbook([header, *rows])]})
 
     return df.groupBy(book).applyInPandas(pack, "path string, content binary")

@@ -1,5 +1,6 @@
 """Workbooks as a data source."""
 
+import io
 import json
 import zipfile
 
@@ -83,3 +84,27 @@ def test_faults_are_told(spark, books):
 def test_list_files(books):
     assert [p.rpartition("/")[2] for _, p in list_files(f"{books}/a/?.xlsx")] == ["1.xlsx", "2.xlsx"]
     assert len(list_files(f"{books}/a")) == 3
+
+
+def test_sheets_are_read_without_a_tree(monkeypatch):
+    """Prefixed tags, split and phonetic text, empty values, cells without a place, entities."""
+    from canton.sources import workbooks
+
+    def no_tree(*_):
+        raise AssertionError("a node for every cell")
+
+    book = io.BytesIO(pack_workbook([["x"]]))
+    out = io.BytesIO()
+    sheet = (
+        '<x:worksheet xmlns:x="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><x:sheetData><x:row r="3">'
+        '<x:c r="B3" t="inlineStr"><x:is><x:r><x:rPr><x:b/></x:rPr><x:t>A &amp;</x:t></x:r> <x:r><x:t> B</x:t></x:r>'
+        '<x:rPh sb="0" eb="1"><x:t>no</x:t></x:rPh></x:is></x:c> <x:c><x:f>1+1</x:f><x:v>2</x:v></x:c><x:c r="AA3"><x:v/></x:c></x:row>'
+        '<x:row><x:c t="inlineStr"><x:is/></x:c><x:c t="str"><x:v><![CDATA[</row>]]></x:v></x:c></x:row></x:sheetData>'
+        "<x:extLst><x:c><x:v>9</x:v></x:c><x:t>9</x:t></x:extLst></x:worksheet>"
+    )
+    with zipfile.ZipFile(book) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            new.writestr(name, sheet if "sheet1" in name else old.read(name))
+    monkeypatch.setattr(workbooks.ElementTree, "iterparse", no_tree)
+    got = list(workbooks.sheet_rows(out.getvalue()))
+    assert got == [(3, [None, "A & B", "2", *[None] * 24]), (4, ["", "</row>"])]
