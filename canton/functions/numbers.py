@@ -17,7 +17,6 @@ _NUMBER = (
     r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
 )
 _DIGITS = r"^\s*[+-]?\d+\s*$"
-_PLAIN = r"^\d{1,18}$"
 _COUNT = r"^([+-]?\d+)(?:[.,]0*)?$"
 
 
@@ -62,13 +61,14 @@ def to_long(c: Column, default: int | None = None, decimal_comma: bool = False)
 def count_or_fail(c: Column) -> Column:
     """A whole number, also as "12.0" or "12,0"; other text fails the job, NULL stays NULL."""
     text = c.cast("string")
-    # Plain digits, as most texts are, need neither trimming nor groups. The rest
-    # is one expression: a dozen counts have to fit into one compiled method.
+    number = text.try_cast("long")
+    # Plain digits, as most texts are, are the number written back: no pattern is
+    # matched. The rest is one expression: a dozen counts have to stay compiled.
     other = F.regexp_extract(strip(text), _COUNT, 1).try_cast("long")
     failed = F.raise_error(F.concat(F.lit("no whole number: "), text)).cast("long")
     return (
         F.when(F.typeof(c) == "bigint", c.try_cast("long"))
-        .when(F.rlike(text, F.lit(_PLAIN)), text.cast("long"))
+        .when(number.cast("string") == text, number)
         .when(c.isNotNull(), F.coalesce(other, failed))
     )
 

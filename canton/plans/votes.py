@@ -94,19 +94,19 @@ def ballot_totals(
     def listed(k: int) -> Column:  # a slot that names no candidate counts nothing, whatever its votes
         return reduce(lambda a, b: a & b, [F.col(f"`{src}_{k}`").isNotNull() for src in ballot])
 
-    # Counts are read as one array: an expression for each would make the
-    # generated method too large to be compiled.
+    names_of_counts = [*L.COUNTS, *[f"voix_{k}" for k in range_]]
     texts = [F.col(f"`{src}`").cast("string") for src in L.COUNT_FIELDS]
     texts += [F.when(listed(k), F.col(f"`Voix_{k}`").cast("string")) for k in range_]
     stations = bronze.dropna(subset=[f"`{src}`" for src in keys]).select(
         *[F.col(f"`{src}`").alias(out) for src, out in keys.items()],
         *[F.col(f"`{src}_{k}`").alias(f"{out}_{k}") for src, out in ballot.items() for k in range_],
-        F.transform(F.array(*texts), lambda text: _count(text, strict)).alias("numbers"),
+        *[text.alias(name) for name, text in zip(names_of_counts, texts)],
     )
     identity = [f"{out}_{k}" for out in ballot.values() for k in range_]
-    measures = [*L.COUNTS, *[f"voix_{k}" for k in range_]]
+    # Counts are read inside their sums, which are generated as a method each:
+    # in one projection they would be too large to be compiled, in an array interpreted.
     ballots = stations.groupBy(*names, *identity).agg(
-        *[F.sum(F.get("numbers", F.lit(i))).alias(m) for i, m in enumerate(measures)]
+        *[F.sum(_counts(name, strict)).alias(name) for name in names_of_counts]
     )
     same_key = Window.partitionBy(*names)
     counted = ballots.withColumns({c: F.sum(c).over(same_key) for c in L.COUNTS})

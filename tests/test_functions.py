@@ -95,6 +95,20 @@ def test_number_defaults(spark):
     assert one(spark, C.to_double(C.decimal_point(F.lit("1,5")))) == 1.5
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [("12", 12), ("007", 7), (" 12\t", 12), ("+5", 5), ("-5", -5), ("-0", 0), ("12.0", 12), ("12,", 12),
+     ("9007199254740993", 9007199254740993), (None, None), *[(t, "fails") for t in ("12.7", "", "x", "1e3", "\x0012", "99999999999999999999")]],
+)
+def test_count_or_fail(spark, text, expected):
+    value = C.count_or_fail(F.lit(text).cast("string"))
+    if expected != "fails":
+        assert one(spark, value) == expected
+    else:
+        with pytest.raises(Exception, match="no whole number"):
+            one(spark, value)
+
+
 def test_strict_cast_raises(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         one(spark, F.lit("12x").cast("long"))

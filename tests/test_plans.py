@@ -350,6 +350,12 @@ def test_ballots_equal_candidates_beside_totals(spark, bronze, rows):
     assert {r["nom"] for r in want.collect()} == {" LE PEN", "MACRON", "AUTRE"}
 
 
+def test_counts_are_read_by_compiled_code(spark, bronze):
+    """A function over array elements would be interpreted, station by station."""
+    plan = ballot_totals(bronze, dict(L.AREA_FIELDS))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
 def test_counts_of_a_ballot_leave_the_stage_compiled(spark):
     """The JVM interprets a generated method of more than 8,000 bytes."""
     import __spark_entry__ as contract
