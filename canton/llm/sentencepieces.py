@@ -21,7 +21,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from canton.llm.arrays import SLICE_BYTES, slices
+from canton.llm.arrays import SLICE_BYTES, give_back, slices
 
 SPACE = "▁"
 CACHE_WORDS = 150_000  # words of each of the two generations that a worker remembers
@@ -345,7 +345,7 @@ def encode_documents(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model") -
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, n_tokens long, round_trip boolean")
+    return rows.mapInArrow(lambda batches: give_back(run(batches)), "doc_id long, ids array<int>, n_tokens long, round_trip boolean")
 
 
 def decode_documents(encoded: DataFrame, vocabulary: str = "piece_bpe_32k.model") -> DataFrame:

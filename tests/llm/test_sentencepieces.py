@@ -1,12 +1,15 @@
 """SentencePiece ids against the library, and exact round trips."""
 
 import random
+import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 
 from canton.llm import sentencepieces as own
+from canton.llm.arrays import give_back
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +87,18 @@ def test_long_texts_without_spaces(library, monkeypatch):
     for text in (prose[:3000], chinese[:1500], "ab" * 700, *noise(3, 5)):
         (ids,) = pieces.encode([text.replace(" ", "")])
         assert np.frombuffer(ids, np.int32).tolist() == library.encode(text.replace(" ", ""))
+
+
+def test_a_task_gives_its_freed_memory_back():
+    def used():
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())))
+
+    seen = []
+
+    def batches():
+        held = [np.ones(500) for _ in range(40_000)]  # 160 MB in small pieces, the last of which stays
+        yield held[-1]
+        seen.append(used())
+
+    kept = list(give_back(batches()))
+    assert len(kept) == 1 and used() < seen[0] - 100_000
