@@ -2,7 +2,7 @@ from canton.functions.keys import (
     commune_id, composite_key, election_label, insee_commune_id, numbered_id,
 )
 from canton.functions.numbers import (
-    count_or_fail, double_columns, half_even, per_mille, pct, ratio, to_double, to_long,
+    count_or_fail, double_columns, half_even, per_mille, pct, plain_number, ratio, to_double, to_long,
     truncated, whole,
 )
 from canton.functions.text import (
@@ -16,7 +16,7 @@ __all__ = [
     "above_threshold", "code_text", "commune_id", "composite_key",
     "contains_any", "count_or_fail", "decimal_point", "dot", "double_columns",
     "drop_decimal_suffix", "election_label", "half_even", "insee_commune_id", "iso_text",
-    "lstrip_zeros", "numbered_id", "pct", "per_mille", "ratio", "sigmoid",
+    "lstrip_zeros", "numbered_id", "pct", "per_mille", "plain_number", "ratio", "sigmoid",
     "slugify", "strip", "timestamp_or_null", "to_double", "to_long",
     "truncated", "weighted_sum", "whole", "year_of", "zfill",
 ]

@@ -58,21 +58,33 @@ def to_long(c: Column, default: int | None = None, decimal_comma: bool = False)
     return value if default is None else F.coalesce(value, F.lit(default).cast("long"))
 
 
-def count_or_fail(c: Column) -> Column:
-    """A whole number, also as "12.0" or "12,0"; other text fails the job, NULL stays NULL."""
+def count_or_fail(c: Column, number: Column | None = None) -> Column:
+    """A whole number, also as "12.0" or "12,0"; other text fails the job, NULL stays NULL.
+
+    ``number`` may give the text's ``plain_number`` as a column, where it would
+    otherwise be parsed twice.
+    """
     text = c.cast("string")
-    number = text.try_cast("long")
-    # Plain digits, as most texts are, are the number written back: no pattern is
-    # matched. The rest is one expression: a dozen counts have to stay compiled.
+    number = plain_number(c) if number is None else number
+    # The cast also takes blanks, controls, signs and zeros around a number. A text
+    # of the number's own length has no room for them: no pattern is matched.
+    digits = F.when(number < 10, 1)
+    for n in range(2, 8):
+        digits = digits.when(number < 10**n, n)
+    plain = (number >= 0) & (F.octet_length(text) == digits)
     other = F.regexp_extract(strip(text), _COUNT, 1).try_cast("long")
     failed = F.raise_error(F.concat(F.lit("no whole number: "), text)).cast("long")
     return (
         F.when(F.typeof(c) == "bigint", c.try_cast("long"))
-        .when(number.cast("string") == text, number)
+        .when(plain, number)
         .when(c.isNotNull(), F.coalesce(other, failed))
     )
 
 
+def plain_number(c: Column) -> Column:
+    return c.cast("string").try_cast("long")
+
+
 def double_columns(df: DataFrame, names, default: float | None = None) -> list[Column]:
     """``to_double`` for the text columns among ``names``; typed ones stay."""
     types = dict(df.dtypes)

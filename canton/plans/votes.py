@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from canton.functions import (
-    code_text, count_or_fail, decimal_point, half_even, iso_text, pct, strip, to_double, to_long,
+    code_text, count_or_fail, decimal_point, half_even, iso_text, pct, plain_number, strip, to_double, to_long,
     whole,
 )
 from canton.operators.aggregates import first_and_sum, keep_first, vote_totals
@@ -102,12 +102,20 @@ def ballot_totals(
         *[F.col(f"`{src}_{k}`").alias(f"{out}_{k}") for src, out in ballot.items() for k in range_],
         *[text.alias(name) for name, text in zip(names_of_counts, texts)],
     )
+    if strict:  # each text is parsed once
+        stations = stations.withColumns({f"number_{name}": plain_number(F.col(name)) for name in names_of_counts})
+
+    def count(name: str) -> Column:
+        return count_or_fail(F.col(name), F.col(f"number_{name}")) if strict else _counts(name, False)
+
     identity = [f"{out}_{k}" for out in ballot.values() for k in range_]
     # Counts are read inside their sums, which are generated as a method each:
     # in one projection they would be too large to be compiled, in an array interpreted.
-    ballots = stations.groupBy(*names, *identity).agg(
-        *[F.sum(_counts(name, strict)).alias(name) for name in names_of_counts]
-    )
+    # The ballot is one key: as columns of their own its candidates would be hashed
+    # and compared one by one for every station, also where they are all alike.
+    ballots = stations.groupBy(*names, F.struct(*identity).alias("ballot")).agg(
+        *[F.sum(count(name)).alias(name) for name in names_of_counts]
+    ).select(*names, "ballot.*", *names_of_counts)
     same_key = Window.partitionBy(*names)
     counted = ballots.withColumns({c: F.sum(c).over(same_key) for c in L.COUNTS})
     rows = unpivot_slots(counted, [*names, *L.COUNTS], list(L.SLOT_FIELDS.values()), n)

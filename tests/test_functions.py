@@ -109,6 +109,16 @@ def test_count_or_fail(spark, text, expected):
             one(spark, value)
 
 
+@pytest.mark.parametrize("text", ["0", "9", "10", "99999", "1234567", "12345678", "-5", "007", " 7", "7,0", "\x007", "7\x7f", "1e3"])
+def test_count_with_its_number_at_hand(spark, text):
+    rows = spark.createDataFrame([(text,)], "t string").select("t", C.plain_number(F.col("t")).alias("n"))
+    if text.strip(" -,.0123456789"):
+        with pytest.raises(Exception, match="no whole number"):
+            rows.select(C.count_or_fail(F.col("t"), F.col("n"))).collect()
+    else:
+        assert rows.select(C.count_or_fail(F.col("t"), F.col("n"))).first()[0] == int(text.split(",")[0])
+
+
 def test_strict_cast_raises(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         one(spark, F.lit("12x").cast("long"))

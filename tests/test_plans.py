@@ -369,3 +369,18 @@ def test_counts_of_a_ballot_leave_the_stage_compiled(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
     assert sizes and max(sizes) < 8_000
+
+
+def test_a_ballot_is_one_grouping_key(spark, bronze):
+    """Its candidates are not hashed and compared one by one for every station."""
+    keys = dict(L.AREA_FIELDS)
+    plan = ballot_totals(bronze, keys)._jdf.queryExecution().executedPlan().toString()
+    dealt = [found.split(", ") for found in re.findall(r"hashpartitioning\(([^)]*), \d+\)", plan)]
+    assert dealt and max(map(len, dealt)) == len(keys) + 1
+
+
+def test_stations_are_joined_without_sorts(spark):
+    from canton.workload.votes import station_rows
+
+    plan = station_rows(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
