@@ -18,9 +18,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from canton.llm.arrays import SLICE_BYTES, slices, utf8
+from canton.llm.arrays import SLICE_BYTES, release_memory, slices, utf8
 
 WINDOW = 5  # words
 ORDINARY_BYTES = 16_384
@@ -298,6 +299,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     return list(texts), list(texts.values())
 
 
+def _sent(docs: DataFrame, model: Model) -> Broadcast[Model]:
+    """The model for the tasks. What the fit took is free by now and would stay with the driver."""
+    release_memory()
+    return docs.sparkSession.sparkContext.broadcast(model)
+
+
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of every whole text.
 
@@ -305,7 +312,7 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD)
     is in no fold (held_out false). Repeated rows give repeated rows, columns
     besides doc_id and text are ignored.
     """
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    known = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = known.value.scorer()
@@ -331,7 +338,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
     """
     if not model.usable:
         return docs
-    known = docs.sparkSession.sparkContext.broadcast(model)
+    known = _sent(docs, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = known.value.scorer()
