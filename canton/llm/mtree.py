@@ -18,12 +18,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from canton.session import stored_table as stored
+
 PAGE = 4_096  # vectors of a page, on average at most
 PIVOTS = 64  # objects around which pages are formed
 SEEDS = 1_024  # vectors whose products give each query its first bound
 NODE = 32  # entries of a leaf
 FANOUT = 16  # entries of an inner node
 BLOCK = 128  # queries of a block
+BUCKET_BITS = 12  # of the hash by which the seeds are found
 
 _EXACT = 2.0**52  # sums below stay exact in doubles
 
@@ -207,11 +210,18 @@ def exact_top_k(
     spark = df.sparkSession
     vectors = integer_vectors(df, id_column, vector, scale)
     square = F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))
-    top = vectors.agg(F.max(square)).first()[0]
-    if top is None:
+    spread = F.xxhash64("vec_id")
+    bucket = F.shiftright(spread, 64 - BUCKET_BITS)
+    # One row per bucket of the hash.
+    counted = sorted(vectors.groupBy(bucket).agg(F.count(F.lit(1)), F.max(square)).collect())
+    if not counted:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    # Bounded: SEEDS rows, spread over the table by a hash.
-    seeds = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SEEDS).collect()
+    top = max(square for _, _, square in counted)
+    filled = np.cumsum([n for _, n, _ in counted])
+    last = counted[min(int(np.searchsorted(filled, SEEDS)), len(counted) - 1)][0]
+    # Bounded: SEEDS rows, spread over the table by a hash. Collected from a table: a collected
+    # limit sends the driver as many rows of every partition.
+    seeds = stored(vectors.where(bucket <= last).orderBy(spread, "vec_id", "v").limit(SEEDS), "seeds").collect()
     seed_ids = np.array([r["vec_id"] for r in seeds])
     seed_v = {
         n: ([j for j, r in enumerate(seeds) if len(r["v"]) == n])
@@ -296,7 +306,8 @@ def exact_top_k(
                     [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"]
                 )
 
-    found = asked.join(trees, "page").mapInArrow(answer, "query_id long, vec_id long, score long")
+    # Never broadcast: a block's rows are one per page, far more than their estimate by its vectors.
+    found = asked.hint("merge").join(trees, "page").mapInArrow(answer, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -48,6 +48,29 @@ def test_top_k_small_and_empty(spark):
     assert [g[2] for g in got] == [1, 2] and got[0][3] == 2**63 - 1
 
 
+def test_top_k_driver_gets_bounded_rows(spark, monkeypatch):
+    """Neither every partition's first rows nor the blocks of queries with their pages go to the driver."""
+    monkeypatch.setattr(mtree, "PAGE", 20)
+    monkeypatch.setattr(mtree, "SEEDS", 30)
+    rng = np.random.default_rng(9)
+    rows = [(i // 2 if i % 3 else 50, [float(x) for x in rng.normal(size=4)]) for i in range(600)]
+    schema = "vec_id long, embedding array<float>"
+    df = spark.createDataFrame(rows, schema).repartition(24)
+    plans, collect = [], type(df).collect
+
+    def watched(self):
+        out = collect(self)
+        plans.append((self._jdf.queryExecution().executedPlan().toString(), len(out)))
+        return out
+
+    monkeypatch.setattr(type(df), "collect", watched)
+    result = mtree.exact_top_k(df)
+    assert not any("TakeOrderedAndProject" in plan or "CollectLimit" in plan for plan, _ in plans)
+    assert sorted(n for _, n in plans)[-1] <= 1 << mtree.BUCKET_BITS and 30 in [n for _, n in plans]
+    assert sorted(tuple(r) for r in result.collect()) == brute_top(rows, 10)
+    assert "BroadcastExchange" not in plans[-1][0] and "SortMergeJoin" in plans[-1][0]
+
+
 def test_tree_leaves_out_computations():
     rng = np.random.default_rng(1)
     vectors = (rng.normal(size=(4000, 4)) * 1000).astype(np.int64)
