@@ -35,9 +35,18 @@ def _small(stored_table: DataFrame) -> DataFrame:
     return small(stored_table, BROADCAST_ROWS)
 
 
+def _split(text: Column) -> Column:
+    """The words of a text between ASCII white space, repeated ones included, and empty texts."""
+    # A split at one plain character needs no pattern; only texts with rarer white space go through one.
+    rows = F.replace(text, F.lit("\n"), F.lit(" "))
+    rare = reduce(Column.__or__, [F.contains(rows, F.lit(c)) for c in "\t\r\f\x0b"])
+    plain = F.when(rare, F.regexp_replace(rows, _SPACES, " ")).otherwise(rows)
+    return F.split(plain, " ")
+
+
 def _words(text: Column) -> Column:
     """The words of a text between ASCII white space, repeated ones included."""
-    return F.array_remove(F.split(text, _SPACES + "+"), "")
+    return F.array_remove(_split(text), "")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -53,7 +62,8 @@ def frequency_classes(docs: DataFrame) -> Column:
     One row of CELLS numbers reaches the driver, whatever the size of the corpus.
     """
     cell = F.xxhash64(F.col("word")).bitwiseAND(F.lit(CELLS - 1))
-    counts = docs.select(F.explode(_words(F.col("text"))).alias("word")).groupBy(cell.alias("id")).count()
+    words = docs.select(F.explode(_split(F.col("text"))).alias("word")).where("word != ''")
+    counts = words.groupBy(cell.alias("id")).count()
     cells = docs.sparkSession.range(CELLS).join(counts, "id", "left")
     level = F.floor(4 * F.log2(F.coalesce("count", F.lit(0)) + 1)).cast("tinyint")
     listed = F.sort_array(F.collect_list(F.struct("id", level.alias("level"))))
@@ -70,15 +80,15 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
     """
     levels = frequency_classes(docs)
 
-    def ordered(word: Column) -> Column:
-        value = F.xxhash64(word)
+    def ordered(value: Column) -> Column:
         level = F.get(levels, value.bitwiseAND(F.lit(CELLS - 1)).cast("int")).cast("long")
         return F.shiftleft(level, 55).bitwiseOR(F.shiftrightunsigned(value, 9))
 
     lines = docs.select("d", "h", F.posexplode(F.split("text", "\n")).alias("no", "line"))
     # Words are told apart by 64-bit hashes here; what passes is verified on the words.
+    hashes = F.transform(_words(F.col("line")), lambda word: F.xxhash64(word))
     sets = lines.select(
-        *_PLACE, F.sort_array(F.array_distinct(F.transform(_words(F.col("line")), ordered))).alias("words")
+        *_PLACE, F.sort_array(F.array_distinct(F.transform(hashes, ordered))).alias("words")
     ).withColumn("n", F.size("words"))
     spare = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
@@ -86,7 +96,7 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
     def flip(x: Column) -> Column:
         return F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))
 
-    sets = sets.where("n > 0").select(
+    sets = sets.select(
         *_PLACE,
         "n",
         F.xxhash64("words").alias("k1"),
@@ -107,7 +117,8 @@ def line_classes(docs: DataFrame, similarity: float) -> DataFrame:
         F.any_value("bits").alias("bits"),
         F.any_value("far").alias("far"),
     )
-    return classes.select(*_KEY, "first.*", "n", "prefix", "bits", "far")
+    # Here, as a filter before the sums would make the words of every line a second time.
+    return classes.where("n > 0").select(*_KEY, "first.*", "n", "prefix", "bits", "far")
 
 
 def _passes(similarity: float, positions: bool) -> Column:
@@ -144,34 +155,35 @@ def _beaten(docs: DataFrame, classes: DataFrame, pairs: DataFrame, similarity: f
         # NULL within one document, where the line numbers decide: such pairs are all verified at once.
         F.when(F.col("a_d") < F.col("b_d"), F.col("b_k1")).when(F.col("a_d") > F.col("b_d"), F.col("a_k1")).alias("k1"),
     )
-    turn = F.row_number().over(Window.partitionBy("k1").orderBy("d", "a_k1", "b_k1"))
-    pairs = stored(
-        pairs.where("k1 IS NOT NULL").withColumn("turn", turn).unionByName(pairs.where("k1 IS NULL").withColumn("turn", F.lit(1))),
-        "pairs",
-    )
+    # One pass: parts by k1, joined by a union, would each make all pairs.
+    alone = F.when(F.col("k1").isNull(), F.xxhash64("a_k1", "b_k1"))
+    turn = F.row_number().over(Window.partitionBy("k1", alone).orderBy("d", "a_k1", "b_k1"))
+    pairs = stored(pairs.withColumn("turn", F.when(F.col("k1").isNull(), 1).otherwise(turn)), "pairs")
     ends = stored(pairs.select(F.col("a_k1").alias("k1")).union(pairs.select("b_k1")).distinct(), "ends")
     places = stored(classes.select(*_KEY, *_PLACE).join(_small(ends), "k1"), "places")
     wanted = places.groupBy("d", "h").agg(F.collect_list(F.struct("no", *_KEY)).alias("sets"))
     if places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)  # a document's list is as long as its places are many
     lines = docs.select("d", "h", "text").join(wanted, ["d", "h"])
-    # A repeated row brings its lines twice, with equal words.
+    # A repeated row brings its lines twice, with equal words. The line is one value, its words are many.
     words = stored(
         lines.select("d", "h", F.split("text", "\n").alias("all"), F.explode("sets").alias("s"))
         .select(
             F.col("s.k1").alias("k1"),
             F.struct("d", "h", "s.no").alias("place"),
             F.struct("s.k1", "s.k2").alias("key"),
-            F.array_distinct(_words(F.get("all", F.col("s.no")))).alias("words"),
+            F.get("all", F.col("s.no")).alias("line"),
         )
-        .dropDuplicates(["key"]),
+        .dropDuplicates(["key"])
+        .withColumn("n", F.size(F.array_distinct(_words(F.col("line"))))),
         "words",
     )
     side = lambda s: words.select(
-        F.col("k1").alias(f"{s}_k1"), F.struct("place", "key").alias(f"{s}_set"), F.col("words").alias(s)
-    )
-    shared = F.size(F.array_intersect("a", "b"))
-    alike = shared >= (F.size("a") + F.size("b") - shared) * similarity - 1e-9
+        F.col("k1").alias(f"{s}_k1"), F.struct("place", "key").alias(f"{s}_set"), F.col("line").alias(s), F.col("n").alias(f"{s}_n")
+    )
+    # shared >= similarity * (a_n + b_n - shared), with what is shared made once.
+    shared = F.size(F.array_intersect(_words(F.col("a")), _words(F.col("b"))))
+    alike = shared * (1 + similarity) >= (F.col("a_n") + F.col("b_n")) * similarity - 1e-9
     later = F.greatest("a_set", "b_set")
     beaten = []
     for now in TURNS:

@@ -125,3 +125,26 @@ def test_variants_that_the_earliest_does_not_remove(spark, monkeypatch):
             gone |= beaten
         candidates += sum(k1 in lost_once for k1, _ in pairs)
     assert removed <= verified < candidates / 2
+
+
+def test_words_and_pairs_are_made_once(spark, monkeypatch):
+    """No plan makes the words of all lines, or the candidate pairs, a second time."""
+    plans, kinds, stored = [], [], line_dedup.stored
+
+    def watched(df, name):
+        if name == "words":
+            kinds.append({c: kind for c, kind in df.dtypes if c not in ("k1", "place", "key")})
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    rows = corpus(4) + [(3000, "tab\tword\rother\x0bwords  here\x0cend"), (3001, " end tab word here other words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = line_dedup.dedup_lines(df, counts=True).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.doc_id, r.text, r.n_lines, r.n_removed) for r in got if r.doc_id != 2001} == {i: w for i, w in want.items()}
+    named = lambda name: [plan for n, plan in plans if n == name]
+    assert all(plan.count("sort_array(") == 1 for plan in named("lines")) and named("lines")
+    assert named("pairs") and not any("Union" in plan for plan in named("pairs"))
+    # Sets travel to their verification as one line each, not as an array of words.
+    assert kinds and all(kind == {"line": "string", "n": "int"} for kind in kinds)
